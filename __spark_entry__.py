@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics import operators as op
+from clickmetrics.config import FUNNEL_STAGES, PURCHASE
 from clickmetrics.session import SESSION_CONF
 from clickmetrics.sources import EventMapping, map_events
 
@@ -23,11 +24,18 @@ GIVEN_EVENTS_ALL_AMOUNTS = EventMapping(timestamp="ts", amount="value", type_nam
 
 
 def given_events(
-    spark: SparkSession, sf_dir: str, mapping: EventMapping = GIVEN_EVENTS
+    spark: SparkSession,
+    sf_dir: str,
+    mapping: EventMapping = GIVEN_EVENTS,
+    only_types: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """The given events table as an event log, days and hours in UTC."""
+    """The given events table as an event log, days and hours in UTC.
+
+    ``only_types`` repeats an operator's own type filter on the table's type names, where the
+    scan can use it.
+    """
     spark.conf.set("spark.sql.session.timeZone", SESSION_CONF["spark.sql.session.timeZone"])
-    return map_events(spark.read.parquet(f"{sf_dir}/events.parquet"), mapping)
+    return map_events(spark.read.parquet(f"{sf_dir}/events.parquet"), mapping, only_types)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -36,9 +44,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _over_events(
-    build: Callable[[DataFrame], DataFrame], mapping: EventMapping = GIVEN_EVENTS
+    build: Callable[[DataFrame], DataFrame],
+    mapping: EventMapping = GIVEN_EVENTS,
+    only_types: tuple[str, ...] | None = None,
 ) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(given_events(spark, sf_dir, mapping))
+    return lambda spark, sf_dir: build(given_events(spark, sf_dir, mapping, only_types))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -59,7 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cohort_daily": _over_events(
             lambda e: op.in_read_order(op.cohort_daily(e), "cohort_metrics")
         ),
-        "funnel_fixed": _over_events(op.funnel_fixed),
+        "funnel_fixed": _over_events(op.funnel_fixed, only_types=FUNNEL_STAGES),
         "funnel_users": _over_events(
             lambda e: op.in_read_order(op.funnel_users(e), "funnel_metrics")
         ),
@@ -67,7 +77,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda e: op.in_read_order(op.funnel_volume(e), "funnel_volume")
         ),
         "revenue_hourly": _over_events(
-            lambda e: op.in_read_order(op.revenue_hourly(e), "revenue_trend")
+            lambda e: op.in_read_order(op.revenue_hourly(e), "revenue_trend"),
+            only_types=(PURCHASE,),
         ),
         # Churn and segments.
         "churn_risk": _over_events(op.churn_risk),
@@ -84,9 +95,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Dashboard.
         "kpi_global": _over_events(op.kpi_global),
         "top_customers": _over_events(lambda e: op.top_customers(op.ltv_basic(e))),
-        "funnel_display": _over_events(lambda e: op.funnel_display(op.funnel_fixed(e))),
+        "funnel_display": _over_events(
+            lambda e: op.funnel_display(op.funnel_fixed(e)), only_types=FUNNEL_STAGES
+        ),
         "churn_summary": _over_events(lambda e: op.churn_summary(op.churn_risk(e))),
-        "conversion_rate": _over_events(lambda e: op.conversion_rate(op.funnel_users(e))),
+        "conversion_rate": _over_events(
+            lambda e: op.conversion_rate(op.funnel_users(e)),
+            only_types=(FUNNEL_STAGES[0], PURCHASE),
+        ),
     }
 
 

@@ -23,14 +23,24 @@ class EventMapping:
     type_names: dict[str, str] = field(default_factory=dict)
     money_types: tuple[str, ...] | None = None
 
+    def source_names(self, types: tuple[str, ...]) -> list[str]:
+        """The source's names of ``types``."""
+        renamed = [old for old, new in self.type_names.items() if new in types]
+        return renamed + [name for name in types if name not in self.type_names]
 
-def map_events(source: DataFrame, mapping: EventMapping) -> DataFrame:
+
+def map_events(
+    source: DataFrame, mapping: EventMapping, only_types: tuple[str, ...] | None = None
+) -> DataFrame:
     """Project ``source`` onto the event columns.
 
-    Every mapped column depends on few source columns, so column pruning still reaches the
-    scan. The type names are chained one by one because Catalyst turns a comparison with
-    such a chain into plain comparisons that the scan can use.
+    An operator that filters on the renamed type cannot have its filter pushed through the
+    renaming. Naming the types it wants in ``only_types`` filters on the source's own names
+    instead, which the scan can use.
     """
+    if only_types is not None:
+        wanted = mapping.source_names(only_types)
+        source = source.filter(F.col(mapping.event_type).isin(*wanted))
     event_type = _renamed(F.col(mapping.event_type), mapping.type_names)
     amount = F.col(mapping.amount).cast("double")
     if mapping.money_types is not None:

@@ -46,7 +46,7 @@ def load_events(
     spark = events.sparkSession
     table = config.table(config.events_table)
     create_events_table(spark, config)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({load_partition(load_id)})")
+    _drop_load(spark, table, load_id)
     placed = (
         events.select(
             *EVENT_COLUMNS,
@@ -59,8 +59,17 @@ def load_events(
     placed.write.insertInto(table, overwrite=True)
 
 
-def load_partition(load_id: str) -> str:
-    """Partition clause of a load; the id goes into SQL text and folder names."""
+def _drop_load(spark: SparkSession, table: str, load_id: str) -> None:
+    """Drop what an earlier attempt of a load wrote; its partitions are one per day."""
     if not re.fullmatch(r"[\w.-]+", load_id):
         raise ValueError(f"a load id is made of letters, digits, '_', '.' and '-': {load_id!r}")
-    return f"{LOAD_COLUMN} = '{load_id}'"
+    load = f"{LOAD_COLUMN} = '{load_id}'"
+    written = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({load})").collect()
+    if written:
+        days = [row.partition.split("/")[0].split("=")[1] for row in written]
+        specs = ", ".join(f"PARTITION ({DAY_COLUMN} = {_day_literal(day)}, {load})" for day in days)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
+def _day_literal(day: str) -> str:
+    return "null" if day == "__HIVE_DEFAULT_PARTITION__" else f"'{day}'"

@@ -50,10 +50,16 @@ def events_table(
     until: datetime | None = None,
 ) -> DataFrame:
     """The stored events, all of them or those of a time range."""
-    stored = spark.table(config.table(config.events_table))
+    stored = current_table(spark, config.table(config.events_table))
     return events_between(stored, since, until).select(*EVENT_COLUMNS)
 
 
+def current_table(spark: SparkSession, name: str) -> DataFrame:
+    """A table whose files another session, such as a stream's, may have replaced."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def metric_table(
     spark: SparkSession,
     name: str,
@@ -62,7 +68,7 @@ def metric_table(
 ) -> DataFrame:
     """A stored metric. If it was never built: one ``default`` row, or no row, of ``schema``."""
     if spark.catalog.tableExists(name):
-        return spark.table(name)
+        return current_table(spark, name)
     if schema is None:
         raise ValueError(f"table {name} does not exist and no schema was given for a default")
     return spark.createDataFrame([] if default is None else [default], schema)

@@ -15,6 +15,7 @@ from clickmetrics.config import AnalyticsConfig
 from clickmetrics.schema import LOAD_COLUMN
 from clickmetrics.sinks.events import load_events
 from clickmetrics.sources.messages import parse_messages, split_parsed
+from clickmetrics.sources.tables import current_table
 
 QUARANTINE_TABLE = "events_quarantine"
 
@@ -66,7 +67,7 @@ def ingest_messages(
 
 def quarantined(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
     """Messages set aside so far: text and reason."""
-    return spark.table(config.table(QUARANTINE_TABLE)).select("value", "reason")
+    return current_table(spark, config.table(QUARANTINE_TABLE)).select("value", "reason")
 
 
 def _trigger(

@@ -24,10 +24,12 @@ from clickmetrics.operators.segments import (
 )
 from clickmetrics.operators.serving import (
     churn_summary,
+    cohort_series,
     conversion_rate,
     funnel_display,
     in_read_order,
     kpi_global,
+    retention_row,
     top_customers,
 )
 
@@ -38,6 +40,7 @@ __all__ = [
     "churn_risk",
     "churn_summary",
     "cohort_daily",
+    "cohort_series",
     "conversion_rate",
     "fit_segments",
     "funnel_display",
@@ -48,6 +51,7 @@ __all__ = [
     "kpi_global",
     "ltv_basic",
     "ltv_detail",
+    "retention_row",
     "retention_summary",
     "revenue_hourly",
     "segment_distribution",

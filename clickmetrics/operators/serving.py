@@ -41,6 +41,21 @@ def funnel_display(funnel: DataFrame) -> DataFrame:
     return funnel.select(F.upper("stage").alias("stage"), "user_count")
 
 
+def cohort_series(cohorts: DataFrame) -> DataFrame:
+    """The cohorts in order of their day."""
+    return in_read_order(cohorts.select("cohort_day", "user_count"), "cohort_metrics")
+
+
+def retention_row(retention: DataFrame) -> DataFrame:
+    """The stored retention row, or zeros if there is none."""
+    counts = [
+        F.coalesce(F.first(name), F.lit(0).cast("bigint")).alias(name)
+        for name in ("total_users", "retained_users")
+    ]
+    rate = F.coalesce(F.first("retention_rate"), F.lit(0.0)).alias("retention_rate")
+    return retention.limit(1).agg(*counts, rate)
+
+
 def churn_summary(churn: DataFrame) -> DataFrame:
     """Users at risk, users evaluated and their ratio in percent; zeros for no users."""
     none = F.lit(0).cast("bigint")

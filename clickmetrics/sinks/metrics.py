@@ -8,7 +8,6 @@ from typing import Literal
 from pyspark.sql import DataFrame
 
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -19,17 +18,19 @@ def save_metric(
     config: AnalyticsConfig = AnalyticsConfig(),
     on_empty: Literal["keep", "replace"] = "keep",
 ) -> bool:
-    """Replace table ``name``, rows and schema, with ``metric``; tell whether it was written.
+    """Replace table ``name``, rows and schema, with ``metric``; tell whether it was replaced.
 
-    With ``keep`` an empty result leaves the old table as it is. The result is then
-    checkpointed before it is looked at, so that the metric is computed once and the old table
-    is given up only when the new rows are safe.
+    The metric is computed once, into a table of its own, which then takes the old one's
+    place. Until then the old table stays whole, also if the computation fails. With ``keep``
+    an empty result leaves it as it is.
     """
-    if on_empty == "keep":
-        ensure_checkpoint_dir(metric.sparkSession)
-        metric = metric.checkpoint()
-        if metric.isEmpty():
-            log.warning("no rows for %s, table left as it was", name)
-            return False
-    metric.write.mode("overwrite").format("parquet").saveAsTable(config.table(name))
+    spark = metric.sparkSession
+    target, staged = config.table(name), config.table(f"{name}_staged")
+    metric.write.mode("overwrite").format("parquet").saveAsTable(staged)
+    if on_empty == "keep" and spark.table(staged).isEmpty():
+        log.warning("no rows for %s, table left as it was", target)
+        spark.sql(f"DROP TABLE {staged}")
+        return False
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
     return True

@@ -1,0 +1,181 @@
+"""Whole runs, the shared rollup, and the dashboard parts."""
+
+from __future__ import annotations
+
+import pytest
+
+from clickmetrics import AnalyticsConfig
+from clickmetrics import operators as op
+from clickmetrics.operators.segments import SegmentModel
+from clickmetrics.plans import (
+    dashboard_records,
+    run_local_profile,
+    run_warehouse_profile,
+    store_rollup,
+    verify_events,
+)
+from clickmetrics.schema import METRIC_SCHEMAS, EventSchemaError
+from clickmetrics.sinks import create_events_table, load_events, save_metric
+from clickmetrics.sources import events_table
+from fixtures import EDGE_EVENTS, events_of, value_set, values
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return events_of(spark, EDGE_EVENTS)
+
+
+@pytest.fixture
+def config(spark, request):
+    name = "".join(c if c.isalnum() else "_" for c in request.node.name).lower()
+    spark.sql(f"CREATE DATABASE {name}")
+    yield AnalyticsConfig(database=name, segment_starts=2)
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def exchanges(frame) -> int:
+    """Shuffles in the plan that the frame is run with, before adaptive changes."""
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    planned = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan
+    return planned.split("Initial Plan")[-1].count("Exchange hashpartitioning")
+
+
+def test_metrics_per_user_need_no_shuffle_over_the_stored_rollup(spark, events, config):
+    rollup = store_rollup(events, config)
+    for metric in (op.ltv_basic, op.ltv_detail, op.churn_risk, op.segment_features, op.user_signup):
+        assert exchanges(metric(rollup)) == 0
+        assert exchanges(metric(events)) == 1
+    assert exchanges(op.user_engagement(rollup)) == 0
+    assert value_set(op.user_engagement(rollup)) == value_set(op.user_engagement(events))
+
+
+def test_rollup_is_replaced_by_the_next_run(spark, events, config):
+    store_rollup(events, config)
+    again = store_rollup(events.filter("user_id = 'u1'"), config)
+    assert {row[0] for row in values(again)} == {"u1"}
+
+
+def test_local_profile(spark, events, config, tmp_path):
+    load_events(events, "all", config)
+    model_path = str(tmp_path / "model")
+    written = run_local_profile(spark, config, model_path)
+    expected = {
+        "ltv_metrics": op.ltv_basic(events),
+        "retention_metrics": op.retention_summary(events),
+        "cohort_metrics": op.cohort_daily(events),
+        "funnel_metrics": op.funnel_fixed(events),
+        "churn_metrics": op.churn_risk(events),
+    }
+    assert set(written) == {*expected, "user_segments"}
+    for name, frame in expected.items():
+        stored = spark.table(config.table(name))
+        assert value_set(stored) == value_set(frame), name
+        assert_schema(spark, stored, name)
+    segments = spark.table(config.table("user_segments"))
+    assert_schema(spark, segments, "user_segments")
+    assert segments.count() == 5
+    # The saved model scores the same users the same way.
+    loaded = SegmentModel.load(model_path)
+    assert value_set(loaded.transform(op.segment_features(events))) == value_set(segments)
+
+
+def test_warehouse_profile(spark, events, config):
+    load_events(events, "all", config)
+    written = run_warehouse_profile(spark, config)
+    expected = {
+        "ltv_detail": op.ltv_detail(events),
+        "funnel_volume": op.funnel_volume(events),
+        "user_daily_activity": op.user_daily_activity(events),
+        "revenue_trend": op.revenue_hourly(events),
+        "churn_metrics": op.churn_risk(events),
+    }
+    assert set(written) == {*expected, "user_segments"}
+    for name, frame in expected.items():
+        stored = spark.table(config.table(name))
+        assert value_set(stored) == value_set(frame), name
+        assert_schema(spark, stored, name)
+
+
+def assert_schema(spark, frame, name):
+    expected = spark.createDataFrame([], METRIC_SCHEMAS[name]).dtypes
+    assert frame.dtypes == expected, name
+
+
+def test_run_again_replaces_tables(spark, events, config):
+    load_events(events, "all", config)
+    run_local_profile(spark, config)
+    load_events(events.filter("user_id = 'u2'"), "more", config)
+    run_local_profile(spark, config)
+    assert ("u2", 4, 0, 0) in value_set(spark.table(config.table("churn_metrics")))
+
+
+def test_empty_log(spark, config):
+    create_events_table(spark, config)
+    assert run_local_profile(spark, config) == ["funnel_metrics"]
+    with pytest.raises(EventSchemaError):
+        verify_events(spark, config)
+
+
+def test_verify_checks_the_schema(spark, config):
+    spark.range(3).selectExpr(
+        "'u' AS user_id", "'login' AS event_type", "id AS amount", "now() AS timestamp"
+    ).write.saveAsTable(config.table("events"))
+    with pytest.raises(EventSchemaError, match="amount"):
+        verify_events(spark, config)
+
+
+NOTHING_BUILT = {
+    "stats": [{"total_users": 0, "total_revenue": 0.0, "total_events": 0}],
+    "top_customers": [],
+    "funnel": [],
+    "conversion": [{"conversion_rate": None}],
+    "segments": [],
+    "cohorts": [],
+    "retention": [{"total_users": 0, "retained_users": 0, "retention_rate": 0.0}],
+    "churn": [{"at_risk_count": 0, "total_evaluated": 0, "churn_rate": 0.0}],
+}
+
+
+def test_dashboard_before_anything_is_built(spark, config):
+    assert dashboard_records(spark, config) == NOTHING_BUILT
+
+
+def test_dashboard_after_a_run(spark, events, config):
+    load_events(events, "all", config)
+    run_local_profile(spark, config)
+    shown = dashboard_records(spark, config)
+    assert shown["stats"] == [{"total_users": 5, "total_revenue": 150.5, "total_events": 13}]
+    assert shown["top_customers"] == [{"rank": 1, "user_id": "u1", "total_ltv": 150.5}]
+    assert {"stage": "ADD_TO_CART", "user_count": 2} in shown["funnel"]
+    assert shown["conversion"] == [{"conversion_rate": 100.0}]
+    assert sum(row["count"] for row in shown["segments"]) == 5
+    assert [row["cohort_day"] for row in shown["cohorts"]] == [
+        "2024-01-01", "2024-01-02", "2024-01-03"
+    ]
+    assert shown["retention"] == [{"total_users": 5, "retained_users": 1, "retention_rate": 20.0}]
+    assert shown["churn"] == [{"at_risk_count": 1, "total_evaluated": 5, "churn_rate": 20.0}]
+
+
+def test_a_broken_part_does_not_disturb_the_others(spark, events, config):
+    load_events(events, "all", config)
+    save_metric(op.user_daily_activity(events), "retention_metrics", config)
+    save_metric(op.churn_risk(events), "churn_metrics", config)
+    shown = dashboard_records(spark, config)
+    assert shown["retention"] == NOTHING_BUILT["retention"]
+    assert shown["churn"] == [{"at_risk_count": 1, "total_evaluated": 5, "churn_rate": 20.0}]
+    assert shown["stats"][0]["total_events"] == 13
+
+
+def test_failed_metric_leaves_the_old_table(spark, events, config):
+    save_metric(op.cohort_daily(events), "m", config)
+    failing = spark.range(3).selectExpr("assert_true(id < 0) AS broken")
+    with pytest.raises(Exception):
+        save_metric(failing, "m", config)
+    assert spark.table(config.table("m")).count() == 3
+    assert save_metric(op.cohort_daily(events), "m", config)
+
+
+def test_events_table_is_read_in_full(spark, events, config):
+    load_events(events, "all", config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)

@@ -6,14 +6,27 @@ work on; ``GIVEN_EVENTS`` maps one to the other. Every query reads the whole tab
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
 from clickmetrics.config import FUNNEL_STAGES, PURCHASE
-from clickmetrics.session import SESSION_CONF
-from clickmetrics.sources import EventMapping, map_events
+from clickmetrics.plans import run_local_profile, run_warehouse_profile
+from clickmetrics.session import SESSION_CONF, new_folder
+from clickmetrics.sinks import append_csv, append_messages, load_events
+from clickmetrics.sources import (
+    EventMapping,
+    csv_events,
+    encode_messages,
+    events_table,
+    map_events,
+)
+from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv
 
 TYPE_NAMES = {"signup": "login", "view": "product_view", "click": "add_to_cart"}
 GIVEN_EVENTS = EventMapping(
@@ -51,9 +64,95 @@ def _over_events(
     return lambda spark, sf_dir: build(given_events(spark, sf_dir, mapping, only_types))
 
 
+def _scratch_database(spark: SparkSession) -> AnalyticsConfig:
+    """A database of its own, in the shared folder, for a query that writes tables."""
+    name = f"clickmetrics_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, 'database')}'")
+    return AnalyticsConfig(database=name)
+
+
+def csv_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events written to CSV staging files and read back."""
+    folder = new_folder(spark, "staging")
+    append_csv(given_events(spark, sf_dir), folder)
+    return csv_events(spark, folder)
+
+
+def staged_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events through CSV staging into the events table."""
+    config, folder = _scratch_database(spark), new_folder(spark, "staging")
+    append_csv(given_events(spark, sf_dir), folder)
+    load_staged_csv(spark, folder, new_folder(spark, "offsets"), config=config)
+    return events_table(spark, config)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events as JSON messages, through the stream into the events table."""
+    config, folder = _scratch_database(spark), new_folder(spark, "landing")
+    append_messages(given_events(spark, sf_dir), folder)
+    ingest_messages(
+        file_messages(spark, folder), "given", new_folder(spark, "offsets"), config, True
+    ).awaitTermination()
+    return events_table(spark, config)
+
+
+def events_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events loaded twice under one load id, which stores them once."""
+    config = _scratch_database(spark)
+    for _ in range(2):
+        load_events(given_events(spark, sf_dir), "given", config)
+    return events_table(spark, config)
+
+
+#: A column to add up in each table of a run, as a check of its contents.
+LOCAL_FIGURES = {
+    "ltv_metrics": "total_ltv",
+    "retention_metrics": "retention_rate",
+    "cohort_metrics": "user_count",
+    "funnel_metrics": "user_count",
+    "churn_metrics": "purchase_count",
+    "user_segments": "monetary",
+}
+WAREHOUSE_FIGURES = {
+    "ltv_detail": "customer_lifespan_days",
+    "funnel_volume": "total_events",
+    "user_daily_activity": "active_days",
+    "revenue_trend": "total_revenue",
+    "churn_metrics": "event_count",
+    "user_segments": "frequency",
+}
+
+
+def _profile(
+    run: Callable[[SparkSession, AnalyticsConfig], list[str]], figures: dict[str, str]
+) -> Callable[[SparkSession, str], DataFrame]:
+    """A whole batch run over the given events; shows each table's rows and figure."""
+
+    def tables_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = _scratch_database(spark)
+        load_events(given_events(spark, sf_dir), "given", config)
+        shown = [
+            spark.table(config.table(name)).agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.round(F.sum(figures[name]).cast("double"), 2).alias("figure"),
+            )
+            for name in run(spark, config)
+        ]
+        return reduce(DataFrame.unionByName, shown)
+
+    return tables_of_run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        # Sources, sinks and streams.
         "events_canonical": _over_events(lambda events: events),
+        "csv_events_scan": csv_events_scan,
+        "events_to_json": _over_events(encode_messages),
+        "events_table_load": events_table_load,
+        "staged_csv_load": staged_csv_load,
+        "stream_ingest": stream_ingest,
         # Metrics.
         "ltv_basic": _over_events(lambda e: op.in_read_order(op.ltv_basic(e), "ltv_metrics")),
         "ltv_basic_all_amounts": _over_events(
@@ -103,6 +202,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda e: op.conversion_rate(op.funnel_users(e)),
             only_types=(FUNNEL_STAGES[0], PURCHASE),
         ),
+        "retention_row": _over_events(lambda e: op.retention_row(op.retention_summary(e))),
+        # Whole batch runs.
+        "local_profile": _profile(run_local_profile, LOCAL_FIGURES),
+        "warehouse_profile": _profile(run_warehouse_profile, WAREHOUSE_FIGURES),
     }
 
 
@@ -143,12 +246,30 @@ _FEATURES = """
 SELECT user_id, COUNT("timestamp") AS frequency, round(SUM(amount), 2) AS monetary
 FROM log GROUP BY user_id"""
 
+# Event text carries whole seconds.
+_IN_SECONDS = """
+SELECT user_id, event_type, amount, CAST(date_trunc('second', "timestamp") AS TIMESTAMP)
+         AS "timestamp"
+FROM log"""
 
-def oracle_sql() -> dict[str, str]:
-    over_purchases = {
-        "events_canonical": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
-        "ltv_basic": _LTV_BASIC,
-        "ltv_detail": """
+_RETENTION = """
+SELECT COUNT(*) AS total_users,
+       COUNT(*) FILTER (WHERE n > 3) AS retained_users,
+       round(CAST(COUNT(*) FILTER (WHERE n > 3) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2)
+         AS retention_rate
+FROM (SELECT user_id, COUNT("timestamp") AS n FROM log GROUP BY user_id)"""
+
+_DAILY_ACTIVITY = """
+SELECT user_id, COUNT(DISTINCT d) AS active_days, MIN(d) AS first_active, MAX(d) AS last_active
+FROM (SELECT user_id, CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS d FROM log)
+GROUP BY user_id"""
+
+_COHORTS = """
+SELECT strftime(first_at, '%Y-%m-%d') AS cohort_day, COUNT(*) AS user_count
+FROM (SELECT user_id, MIN("timestamp") AS first_at FROM log GROUP BY user_id)
+WHERE first_at IS NOT NULL GROUP BY 1"""
+
+_LTV_DETAIL = """
 SELECT user_id, first_order_date, last_order_date, total_orders,
        round(spent, 2) AS total_ltv,
        CAST(round(spent, 2) AS DOUBLE) / NULLIF(total_orders, 0) AS avg_order_value,
@@ -157,37 +278,70 @@ FROM (SELECT user_id, MIN("timestamp") AS first_order_date, MAX("timestamp") AS
              COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS total_orders,
              SUM(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END) AS spent
       FROM log GROUP BY user_id)
-WHERE spent > 0""",
+WHERE spent > 0"""
+
+_FUNNEL_VOLUME = """
+SELECT event_type AS stage, COUNT(user_id) AS total_events,
+       COUNT(DISTINCT user_id) AS unique_users
+FROM log GROUP BY event_type"""
+
+_REVENUE = """
+SELECT CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS revenue_hour,
+       COUNT(*) AS purchase_count, round(SUM(amount), 2) AS total_revenue
+FROM log WHERE event_type = 'purchase' GROUP BY 1"""
+
+
+def _figures(columns: dict[str, str]) -> str:
+    """Rows and figure of each table of a run, from the SQL of the table."""
+    sources = {
+        "ltv_metrics": _LTV_BASIC,
+        "retention_metrics": _RETENTION,
+        "cohort_metrics": _COHORTS,
+        "funnel_metrics": _FUNNEL_FIXED,
+        "churn_metrics": _CHURN_RISK,
+        "user_segments": _FEATURES,
+        "ltv_detail": _LTV_DETAIL,
+        "funnel_volume": _FUNNEL_VOLUME,
+        "user_daily_activity": _DAILY_ACTIVITY,
+        "revenue_trend": _REVENUE,
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, "
+        f"round(CAST(SUM({column}) AS DOUBLE), 2) AS figure FROM ({sources[name]})"
+        for name, column in columns.items()
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    over_purchases = {
+        "events_canonical": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
+        "csv_events_scan": _IN_SECONDS,
+        "events_to_json": """
+SELECT CAST(to_json({
+         'user_id': user_id, 'event_type': event_type, 'amount': amount,
+         'timestamp': strftime("timestamp", '%Y-%m-%d %H:%M:%S')}) AS VARCHAR) AS value
+FROM log""",
+        "events_table_load": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
+        "staged_csv_load": _IN_SECONDS,
+        "stream_ingest": _IN_SECONDS,
+        "local_profile": _figures(LOCAL_FIGURES),
+        "warehouse_profile": _figures(WAREHOUSE_FIGURES),
+        "ltv_basic": _LTV_BASIC,
+        "ltv_detail": _LTV_DETAIL,
         "user_engagement": """
 SELECT user_id, COUNT(DISTINCT event_type) AS unique_actions,
        COUNT("timestamp") AS total_interactions
 FROM log GROUP BY user_id""",
-        "retention_summary": """
-SELECT COUNT(*) AS total_users,
-       COUNT(*) FILTER (WHERE n > 3) AS retained_users,
-       round(CAST(COUNT(*) FILTER (WHERE n > 3) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2)
-         AS retention_rate
-FROM (SELECT user_id, COUNT("timestamp") AS n FROM log GROUP BY user_id)""",
-        "user_daily_activity": """
-SELECT user_id, COUNT(DISTINCT d) AS active_days, MIN(d) AS first_active, MAX(d) AS last_active
-FROM (SELECT user_id, CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS d FROM log)
-GROUP BY user_id""",
+        "retention_summary": _RETENTION,
+        "retention_row": _RETENTION,
+        "user_daily_activity": _DAILY_ACTIVITY,
         "user_signup": 'SELECT user_id, MIN("timestamp") AS signup_date FROM log GROUP BY user_id',
-        "cohort_daily": """
-SELECT strftime(first_at, '%Y-%m-%d') AS cohort_day, COUNT(*) AS user_count
-FROM (SELECT user_id, MIN("timestamp") AS first_at FROM log GROUP BY user_id)
-WHERE first_at IS NOT NULL GROUP BY 1""",
+        "cohort_daily": _COHORTS,
         "funnel_fixed": _FUNNEL_FIXED,
         "funnel_users": """
 SELECT event_type AS stage, COUNT(DISTINCT user_id) AS user_count FROM log GROUP BY event_type""",
-        "funnel_volume": """
-SELECT event_type AS stage, COUNT(user_id) AS total_events,
-       COUNT(DISTINCT user_id) AS unique_users
-FROM log GROUP BY event_type""",
-        "revenue_hourly": """
-SELECT CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS revenue_hour,
-       COUNT(*) AS purchase_count, round(SUM(amount), 2) AS total_revenue
-FROM log WHERE event_type = 'purchase' GROUP BY 1""",
+        "funnel_volume": _FUNNEL_VOLUME,
+        "revenue_hourly": _REVENUE,
         "churn_risk": _CHURN_RISK,
         "segment_features": _FEATURES,
         "segment_features_scaled": f"""

@@ -28,6 +28,11 @@ from clickmetrics.sources import (
 )
 from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv
 
+#: Stated, so that no job has to read it from the files first.
+GIVEN_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
 TYPE_NAMES = {"signup": "login", "view": "product_view", "click": "add_to_cart"}
 GIVEN_EVENTS = EventMapping(
     timestamp="ts", amount="value", type_names=TYPE_NAMES, money_types=("purchase",)
@@ -48,7 +53,8 @@ def given_events(
     scan can use it.
     """
     spark.conf.set("spark.sql.session.timeZone", SESSION_CONF["spark.sql.session.timeZone"])
-    return map_events(spark.read.parquet(f"{sf_dir}/events.parquet"), mapping, only_types)
+    stored = spark.read.schema(GIVEN_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return map_events(stored, mapping, only_types)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -31,6 +31,7 @@ class AnalyticsConfig:
     segment_labels: tuple[str, ...] = SEGMENT_LABELS
     segment_seed: int = 42
     segment_starts: int = 10
+    segment_parallelism: int = 4
     segment_max_iterations: int = 300
     segment_tolerance: float = 1e-4
 

@@ -25,15 +25,14 @@ def as_activity(frame: DataFrame) -> DataFrame:
     """View events as activity; an activity frame passes through unchanged."""
     if set(ACTIVITY_COLUMNS) <= set(frame.columns):
         return frame
-    timestamp = F.col("timestamp")
-    return frame.select(
+    return frame.selectExpr(
         "user_id",
         "event_type",
-        F.lit(1).cast("bigint").alias(EVENTS),
-        F.when(timestamp.isNotNull(), 1).otherwise(0).cast("bigint").alias(DATED_EVENTS),
-        F.col("amount").alias(AMOUNT),
-        timestamp.alias(FIRST_AT),
-        timestamp.alias(LAST_AT),
+        f"1L AS {EVENTS}",
+        f"if(timestamp IS NULL, 0L, 1L) AS {DATED_EVENTS}",
+        f"amount AS {AMOUNT}",
+        f"timestamp AS {FIRST_AT}",
+        f"timestamp AS {LAST_AT}",
     )
 
 
@@ -54,4 +53,4 @@ def user_event_rollup(frame: DataFrame) -> DataFrame:
 
 def known_user_events() -> Column:
     """Events of a row that carry a user id."""
-    return F.when(F.col("user_id").isNotNull(), F.col(EVENTS)).otherwise(F.lit(0).cast("bigint"))
+    return F.expr(f"if(user_id IS NULL, 0L, {EVENTS})")

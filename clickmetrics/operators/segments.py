@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -132,7 +133,11 @@ def _scaling() -> Pipeline:
 
 
 def _best_of_starts(scaled: DataFrame, config: AnalyticsConfig) -> KMeansModel:
-    """The fit with the least within-cluster distance among several seeds."""
+    """The fit with the least within-cluster distance among several seeds.
+
+    The fits are independent and each is a chain of short jobs, so several run side by side, as
+    Spark's own model tuning does it.
+    """
     kmeans = KMeans(
         featuresCol="scaled",
         predictionCol="segment_id",
@@ -140,8 +145,12 @@ def _best_of_starts(scaled: DataFrame, config: AnalyticsConfig) -> KMeansModel:
         maxIter=config.segment_max_iterations,
         tol=config.segment_tolerance,
     )
-    seeds = range(config.segment_seed, config.segment_seed + config.segment_starts)
-    fits = [kmeans.setSeed(seed).fit(scaled) for seed in seeds]
+    starts = [
+        {kmeans.seed: config.segment_seed + index} for index in range(config.segment_starts)
+    ]
+    fit = inheritable_thread_target(scaled.sparkSession)(lambda start: kmeans.fit(scaled, start))
+    with ThreadPool(min(config.segment_parallelism, len(starts))) as pool:
+        fits = pool.map(fit, starts)
     return min(fits, key=lambda fit: fit.summary.trainingCost)
 
 

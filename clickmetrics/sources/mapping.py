@@ -41,13 +41,14 @@ def map_events(
     if only_types is not None:
         wanted = mapping.source_names(only_types)
         source = source.filter(F.col(mapping.event_type).isin(*wanted))
-    event_type = _renamed(F.col(mapping.event_type), mapping.type_names)
+    source_type = F.col(mapping.event_type)
     amount = F.col(mapping.amount).cast("double")
     if mapping.money_types is not None:
-        amount = F.when(event_type.isin(*mapping.money_types), amount).otherwise(F.lit(0.0))
+        has_amount = source_type.isin(*mapping.source_names(mapping.money_types))
+        amount = F.when(has_amount, amount).otherwise(F.lit(0.0))
     return source.select(
         F.col(mapping.user_id).cast("string").alias("user_id"),
-        event_type.alias("event_type"),
+        _renamed(source_type, mapping.type_names).alias("event_type"),
         amount.alias("amount"),
         F.col(mapping.timestamp).cast("timestamp").alias("timestamp"),
     )

@@ -14,12 +14,12 @@ from fixtures import EDGE_EVENTS, at, events_of, value_set, values
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return events_of(spark, EDGE_EVENTS)
+    return events_of(spark, EDGE_EVENTS).coalesce(2).persist()
 
 
 @pytest.fixture(scope="module", params=["events", "rollup"])
 def activity(request, events):
-    return events if request.param == "events" else op.user_event_rollup(events)
+    return events if request.param == "events" else op.user_event_rollup(events).persist()
 
 
 def test_ltv_basic(activity):

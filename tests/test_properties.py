@@ -1,0 +1,97 @@
+"""Relations that hold for any events, and results that ignore order, partitions and skew."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clickmetrics import operators as op
+from fixtures import events_of, value_set
+
+START = datetime(2024, 1, 1)
+
+EVENT = st.tuples(
+    st.sampled_from(["a", "b", "c", None]),
+    st.sampled_from(["login", "product_view", "add_to_cart", "purchase", "refund"]),
+    st.sampled_from([0.0, 10.25, 99.99, -5.5, None]),
+    st.one_of(
+        st.none(),
+        st.integers(0, 5 * 24 * 3600).map(lambda seconds: START + timedelta(seconds=seconds)),
+    ),
+)
+
+FROM_ACTIVITY = [
+    op.ltv_basic,
+    op.ltv_detail,
+    op.user_engagement,
+    op.retention_summary,
+    op.user_signup,
+    op.cohort_daily,
+    op.funnel_fixed,
+    op.funnel_users,
+    op.funnel_volume,
+    op.churn_risk,
+    op.segment_features,
+    op.kpi_global,
+]
+FROM_EVENTS = [op.user_daily_activity, op.revenue_hourly]
+
+
+@settings(
+    max_examples=3,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rows=st.lists(EVENT, min_size=1, max_size=60))
+def test_any_events(spark, rows):
+    events = events_of(spark, rows).repartition(3).persist()
+    rollup = op.user_event_rollup(events).persist()
+    for metric in FROM_ACTIVITY:
+        assert value_set(metric(events)) == value_set(metric(rollup)), metric.__name__
+    shuffled = events_of(spark, rows[::-1]).coalesce(1).persist()
+    for metric in FROM_ACTIVITY + FROM_EVENTS:
+        assert value_set(metric(events)) == value_set(metric(shuffled)), metric.__name__
+
+    users = {row[0] for row in rows}
+    known = users - {None}
+    assert op.kpi_global(events).first()[0] == len(known)
+    cohorts = op.cohort_daily(events, "keep_null_day")
+    assert cohorts.agg(F.sum("user_count")).first()[0] == len(known)
+    summary = op.retention_summary(events).first()
+    assert summary.retained_users <= summary.total_users == len(users)
+    for row in op.funnel_volume(events).collect():
+        assert row.unique_users <= row.total_events
+    for frame in (events, rollup, shuffled):
+        frame.unpersist()
+
+
+def test_hourly_revenue_adds_up_to_the_total(spark, sf_dir):
+    from __spark_entry__ import given_events
+
+    events = given_events(spark, sf_dir)
+    hourly = op.revenue_hourly(events).agg(F.round(F.sum("total_revenue"), 2)).first()[0]
+    assert hourly == pytest.approx(op.kpi_global(events).first().total_revenue)
+
+
+def test_user_with_a_third_of_all_events(spark):
+    """One user holds a third of the rows; no task receives them after the first aggregation."""
+    rows = 90_000
+    events = spark.range(rows, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.when(F.col("id") % 2 == 0, "purchase").otherwise("login").alias("event_type"),
+        F.lit(1.0).alias("amount"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 864000).alias("timestamp"),
+    )
+    top = op.top_customers(op.ltv_basic(events)).first()
+    assert (top.user_id, top.total_ltv) == ("hot", rows / 3)
+    daily = op.user_daily_activity(events).filter("user_id = 'hot'").first()
+    assert daily.active_days == 2
+    received = (
+        op.user_event_rollup(events).filter("user_id = 'hot'").agg(F.sum("events")).first()[0]
+    )
+    assert received == rows // 3

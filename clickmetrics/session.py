@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 # Days and hours of events are UTC. Adaptive execution sizes the shuffle partitions, splits
 # the skewed ones and picks join strategies from measured sizes. Loads replace only the
-# partitions they write. Without call-site capture a plan takes half as long to build, which
+# partitions they write. Checkpoints are removed once nothing refers to them. Without call-site capture a plan takes half as long to build, which
 # shows in dashboard queries; turn it on to see the Python line in error messages.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +17,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 

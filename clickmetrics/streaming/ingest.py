@@ -21,13 +21,15 @@ QUARANTINE_TABLE = "events_quarantine"
 
 
 def file_messages(
-    spark: SparkSession, path: str, max_files_per_batch: int | None = None
+    spark: SparkSession, path: str, max_files_per_batch: int = 1000
 ) -> DataFrame:
-    """Stream of messages landing in a folder, one per line."""
-    reader = spark.readStream.format("text")
-    if max_files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.load(path)
+    """Stream of messages landing in a folder, one per line.
+
+    A backlog is worked off in several batches, each of a size the cluster can hold.
+    """
+    return (
+        spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch).load(path)
+    )
 
 
 def kafka_messages(spark: SparkSession, **options: str) -> DataFrame:

@@ -20,6 +20,7 @@ def load_staged_csv(
     config: AnalyticsConfig = AnalyticsConfig(),
     after_load: Literal["keep", "archive", "delete"] = "keep",
     archive: str | None = None,
+    max_files_per_batch: int = 1000,
 ) -> None:
     """Load the CSV files that were added since the last run, then return.
 
@@ -29,7 +30,10 @@ def load_staged_csv(
     the run, and the files are tried again on the next one.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA).options(
-        header=True, enforceSchema=False, **read_options("strict")
+        header=True,
+        enforceSchema=False,
+        maxFilesPerTrigger=max_files_per_batch,
+        **read_options("strict"),
     )
     if after_load == "archive":
         if archive is None:

@@ -174,6 +174,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cohort_daily": _over_events(
             lambda e: op.in_read_order(op.cohort_daily(e), "cohort_metrics")
         ),
+        "cohort_daily_keep_null_day": _over_events(
+            lambda e: op.in_read_order(op.cohort_daily(e, "keep_null_day"), "cohort_metrics")
+        ),
         "funnel_fixed": _over_events(op.funnel_fixed, only_types=FUNNEL_STAGES),
         "funnel_users": _over_events(
             lambda e: op.in_read_order(op.funnel_users(e), "funnel_metrics")
@@ -343,6 +346,10 @@ FROM log GROUP BY user_id""",
         "user_daily_activity": _DAILY_ACTIVITY,
         "user_signup": 'SELECT user_id, MIN("timestamp") AS signup_date FROM log GROUP BY user_id',
         "cohort_daily": _COHORTS,
+        "cohort_daily_keep_null_day": """
+SELECT strftime(first_at, '%Y-%m-%d') AS cohort_day, COUNT(user_id) AS user_count
+FROM (SELECT user_id, MIN("timestamp") AS first_at FROM log GROUP BY user_id)
+GROUP BY 1""",
         "funnel_fixed": _FUNNEL_FIXED,
         "funnel_users": """
 SELECT event_type AS stage, COUNT(DISTINCT user_id) AS user_count FROM log GROUP BY event_type""",

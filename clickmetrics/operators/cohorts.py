@@ -25,7 +25,9 @@ def cohort_daily(events: DataFrame, null_policy: NullPolicy = "drop_null_day") -
     one user; ``keep_null_day`` gives such users a null day of their own and does not
     count a null user.
     """
-    first_days = user_signup(events).select("user_id", day_text(F.col("signup_date")).alias("cohort_day"))
+    first_days = user_signup(events).select(
+        "user_id", day_text(F.col("signup_date")).alias("cohort_day")
+    )
     if null_policy == "drop_null_day":
         known = first_days.filter(F.col("cohort_day").isNotNull())
         return known.groupBy("cohort_day").agg(F.count(F.lit(1)).alias("user_count"))

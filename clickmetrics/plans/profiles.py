@@ -79,7 +79,10 @@ def _save_all(
 
 def _save_models(rollup: DataFrame, config: AnalyticsConfig, model_path: str | None) -> list[str]:
     tables = {"churn_metrics": op.churn_risk(rollup, config)}
-    segmentation = op.fit_segments(op.segment_features(rollup, config), config)
+    # Training passes over the features many times: give it partitions of a good size instead of
+    # one per bucket, at the price of one shuffle.
+    features = op.segment_features(rollup, config).hint("rebalance")
+    segmentation = op.fit_segments(features, config)
     if segmentation is not None:
         tables["user_segments"] = segmentation.users
         if model_path is not None:

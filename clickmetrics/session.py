@@ -22,7 +22,9 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str = "clickmetrics", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "clickmetrics", master: str | None = None, **conf: str
+) -> SparkSession:
     """Start or reuse a session with the settings the operators are written for.
 
     ``master`` is left to spark-submit when not given. Extra settings are passed by

@@ -79,7 +79,7 @@ def test_hourly_revenue_adds_up_to_the_total(spark, sf_dir):
 
 
 def test_user_with_a_third_of_all_events(spark):
-    """One user holds a third of the rows; no task receives them after the first aggregation."""
+    """A user who holds a third of the rows is counted in full."""
     rows = 90_000
     events = spark.range(rows, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),

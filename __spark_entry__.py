@@ -9,6 +9,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,7 +152,28 @@ def _profile(
     return tables_of_run
 
 
+def _training_data(name: str) -> dict:
+    """``QUERIES`` or ``ORACLE_SQL`` of the training-data operators, where they are installed."""
+    if find_spec("clickmetrics.llm") is None:
+        return {}
+    return getattr(import_module("clickmetrics.llm.queries"), name)
+
+
+def _pipeline() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if find_spec("clickmetrics.llm") is None or find_spec("corpus_pipeline") is None:
+        return {}
+    return {"pipeline": import_module("corpus_pipeline").run}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _training_data("QUERIES") | _pipeline() | _event_queries()
+
+
+def oracle_sql() -> dict[str, str]:
+    return _training_data("ORACLE_SQL") | _event_sql()
+
+
+def _event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Sources, sinks and streams.
         "events_canonical": _over_events(lambda events: events),
@@ -321,7 +344,7 @@ def _figures(columns: dict[str, str]) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def _event_sql() -> dict[str, str]:
     over_purchases = {
         "events_canonical": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
         "csv_events_scan": _IN_SECONDS,

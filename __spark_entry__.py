@@ -6,21 +6,29 @@ work on; ``GIVEN_EVENTS`` maps one to the other. Every query reads the whole tab
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 from functools import reduce
 from importlib import import_module
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
 from clickmetrics.config import FUNNEL_STAGES, PURCHASE
-from clickmetrics.plans import run_local_profile, run_warehouse_profile
+from clickmetrics.operators.segments import SegmentModel
+from clickmetrics.plans import (
+    dashboard_snapshot,
+    run_local_profile,
+    run_metrics,
+    run_warehouse_profile,
+)
+from clickmetrics.plans.profiles import SQL_RUN
 from clickmetrics.session import SESSION_CONF, new_folder
-from clickmetrics.sinks import append_csv, append_messages, load_events
+from clickmetrics.sinks import append_csv, append_messages, compact_events, load_events
 from clickmetrics.sources import (
     EventMapping,
     csv_events,
@@ -28,7 +36,12 @@ from clickmetrics.sources import (
     events_table,
     map_events,
 )
-from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv
+from clickmetrics.streaming import (
+    file_messages,
+    ingest_messages,
+    load_staged_csv,
+    quarantined,
+)
 
 #: Stated, so that no job has to read it from the files first.
 GIVEN_SCHEMA = (
@@ -72,86 +85,173 @@ def _over_events(
     return lambda spark, sf_dir: build(given_events(spark, sf_dir, mapping, only_types))
 
 
-def _scratch_database(spark: SparkSession) -> AnalyticsConfig:
-    """A database of its own, in the shared folder, for a query that writes tables."""
-    name = f"clickmetrics_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, 'database')}'")
-    return AnalyticsConfig(database=name)
+#: Money is rounded in these queries, so that the order of double sums does not show.
+REPORT = AnalyticsConfig(money_digits=2)
+
+
+def _scratch_database(spark: SparkSession, name: str) -> tuple[AnalyticsConfig, str]:
+    """A database of its own for a query that writes tables, and its folder in the shared one.
+
+    A query's next call drops what its last one left, so there is one copy per query.
+    """
+    database = f"clickmetrics_{name}"
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    folder = new_folder(spark, name)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    return replace(REPORT, database=database), folder
 
 
 def csv_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given events written to CSV staging files and read back."""
-    folder = new_folder(spark, "staging")
-    append_csv(given_events(spark, sf_dir), folder)
-    return csv_events(spark, folder)
+    _, folder = _scratch_database(spark, "csv_events_scan")
+    append_csv(given_events(spark, sf_dir), f"{folder}/staging")
+    return csv_events(spark, f"{folder}/staging")
 
 
 def staged_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given events through CSV staging into the events table."""
-    config, folder = _scratch_database(spark), new_folder(spark, "staging")
-    append_csv(given_events(spark, sf_dir), folder)
-    load_staged_csv(spark, folder, new_folder(spark, "offsets"), config=config)
+    config, folder = _scratch_database(spark, "staged_csv_load")
+    append_csv(given_events(spark, sf_dir), f"{folder}/staging")
+    load_staged_csv(spark, f"{folder}/staging", f"{folder}/offsets", "staged", config)
     return events_table(spark, config)
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given events as JSON messages, through the stream into the events table."""
-    config, folder = _scratch_database(spark), new_folder(spark, "landing")
-    append_messages(given_events(spark, sf_dir), folder)
+def _ingested(spark: SparkSession, messages: DataFrame, name: str) -> AnalyticsConfig:
+    config, folder = _scratch_database(spark, name)
+    messages.write.text(f"{folder}/landing")
     ingest_messages(
-        file_messages(spark, folder), "given", new_folder(spark, "offsets"), config, True
+        file_messages(spark, f"{folder}/landing"), "given", f"{folder}/offsets", config, True
     ).awaitTermination()
-    return events_table(spark, config)
+    return config
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events as JSON messages, through the stream into the events table."""
+    messages = encode_messages(given_events(spark, sf_dir))
+    return events_table(spark, _ingested(spark, messages, "stream_ingest"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages set aside by reason: clicks have their amount made text, views lack a time."""
+    events = given_events(spark, sf_dir)
+    event_type = F.regexp_extract("value", '"event_type":"([^"]*)"', 1)
+    amount_as_text = F.regexp_replace("value", '"amount":([^,]*)', '"amount":"$1"')
+    without_time = F.regexp_replace("value", ',"timestamp":"[^"]*"', "")
+    messages = encode_messages(events).select(
+        F.when(event_type == "add_to_cart", amount_as_text)
+        .when(event_type == "product_view", without_time)
+        .otherwise(F.col("value"))
+        .alias("value")
+    )
+    config = _ingested(spark, messages, "stream_quarantine")
+    stored = events_table(spark, config).agg(
+        F.lit("stored").alias("reason"), F.count(F.lit(1)).alias("messages")
+    )
+    aside = quarantined(spark, config).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+    return stored.union(aside)
 
 
 def events_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given events loaded twice under one load id, which stores them once."""
-    config = _scratch_database(spark)
+    config, _ = _scratch_database(spark, "events_table_load")
     for _ in range(2):
         load_events(given_events(spark, sf_dir), "given", config)
     return events_table(spark, config)
 
 
-#: A column to add up in each table of a run, as a check of its contents.
-LOCAL_FIGURES = {
-    "ltv_metrics": "total_ltv",
-    "retention_metrics": "retention_rate",
-    "cohort_metrics": "user_count",
-    "funnel_metrics": "user_count",
-    "churn_metrics": "purchase_count",
-    "user_segments": "monetary",
-}
-WAREHOUSE_FIGURES = {
-    "ltv_detail": "customer_lifespan_days",
-    "funnel_volume": "total_events",
-    "user_daily_activity": "active_days",
-    "revenue_trend": "total_revenue",
-    "churn_metrics": "event_count",
-    "user_segments": "frequency",
-}
+def events_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given events in a load per type, all days but the last folded together."""
+    config, _ = _scratch_database(spark, "events_compacted")
+    events = given_events(spark, sf_dir)
+    for event_type in FUNNEL_STAGES:
+        load_events(events.filter(F.col("event_type") == event_type), event_type, config)
+    load_events(events.filter(~F.col("event_type").isin(*FUNNEL_STAGES)), "others", config)
+    compact_events(spark, date(2024, 1, 30), config)
+    return events_table(spark, config)
 
 
 def _profile(
-    run: Callable[[SparkSession, AnalyticsConfig], list[str]], figures: dict[str, str]
+    run: Callable[[SparkSession, AnalyticsConfig], list[str]], name: str
 ) -> Callable[[SparkSession, str], DataFrame]:
-    """A whole batch run over the given events; shows each table's rows and figure."""
+    """A whole batch run over the given events, in two loads with a run after each; every table's
+    rows as text, so that whole tables are compared."""
 
     def tables_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        config = _scratch_database(spark)
-        load_events(given_events(spark, sf_dir), "given", config)
-        shown = [
-            spark.table(config.table(name)).agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.round(F.sum(figures[name]).cast("double"), 2).alias("figure"),
-            )
-            for name in run(spark, config)
-        ]
+        config, _ = _scratch_database(spark, name)
+        events = given_events(spark, sf_dir)
+        load_events(events.filter("timestamp < '2024-01-20'"), "earlier", config)
+        run(spark, config)
+        load_events(events.filter("timestamp >= '2024-01-20'"), "later", config)
+        shown = []
+        for table in run(spark, config):
+            rows = spark.table(config.table(table))
+            if table == "user_segments":
+                rows = op.segment_check(rows)
+            values = [_as_text(rows, column) for column in sorted(rows.columns)]
+            shown.append(rows.select(F.lit(table).alias("table_name"), F.concat_ws("|", *values).alias("row")))
         return reduce(DataFrame.unionByName, shown)
 
     return tables_of_run
 
 
+def _as_text(rows: DataFrame, column: str) -> Column:
+    """A value as both engines show it: doubles by hundredths, times by microseconds."""
+    value = F.col(column)
+    kind = rows.schema[column].dataType.simpleString()
+    if kind == "double":
+        value = F.round(value * 100).cast("bigint")
+    elif kind == "timestamp":
+        value = F.unix_micros(value)
+    return F.coalesce(value.cast("string"), F.lit("-"))
+
+
+def dashboard_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts of the dashboard after a local run, figures as text; a load came in since."""
+    config, _ = _scratch_database(spark, "dashboard_parts")
+    events = given_events(spark, sf_dir)
+    load_events(events.filter("timestamp < '2024-01-20'"), "earlier", config)
+    run_local_profile(spark, config)
+    load_events(events.filter("timestamp >= '2024-01-20'"), "later", config)
+    shown = []
+    for part, frame in dashboard_snapshot(spark, config).items():
+        if part == "segments":
+            frame = frame.agg(F.sum("count").alias("users"), F.count(F.lit(1)).alias("segments"))
+        values = [_as_text(frame, column) for column in sorted(frame.columns)]
+        shown.append(frame.select(F.lit(part).alias("part"), F.concat_ws("|", *values).alias("row")))
+    return reduce(DataFrame.unionByName, shown)
+
+
+def segment_model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users scored by a segment model that was saved and loaded, next to the fitted one."""
+    features = op.segment_features(given_events(spark, sf_dir), REPORT)
+    fitted = op.fit_segments(features, REPORT)
+    path = new_folder(spark, "segment-model")
+    fitted.model.save(path)
+    loaded = SegmentModel.load(path).transform(features)
+    both = fitted.users.alias("a").join(loaded.alias("b"), "user_id")
+    same = F.col("a.segment_label").eqNullSafe(F.col("b.segment_label"))
+    return both.select("user_id", "a.frequency", "a.monetary", same.alias("same_label"))
+
+
+#: One user per user and day, so that thresholds have values on both sides; purchases of an odd
+#: event lose their amount, so that there are nulls; retained is who does more than three things.
+def daily_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = spark.read.schema(GIVEN_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    spark.conf.set("spark.sql.session.timeZone", SESSION_CONF["spark.sql.session.timeZone"])
+    day = F.date_format(F.col("ts").cast("timestamp"), "yyyyMMdd")
+    no_amount = (F.col("event_type") == PURCHASE) & (F.col("event_id") % 2 == 1)
+    return map_events(
+        stored.withColumn("user_id", F.concat_ws("-", F.col("user_id").cast("string"), day)).withColumn(
+            "value", F.when(~no_amount, F.col("value"))
+        ),
+        GIVEN_EVENTS,
+    )
+
+
+def _over_daily(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(daily_user_events(spark, sf_dir))
+
+
 def _training_data(name: str) -> dict:
     """``QUERIES`` or ``ORACLE_SQL`` of the training-data operators, where they are installed."""
     if find_spec("clickmetrics.llm") is None:
@@ -182,12 +282,14 @@ def _event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_table_load": events_table_load,
         "staged_csv_load": staged_csv_load,
         "stream_ingest": stream_ingest,
+        "stream_quarantine": stream_quarantine,
+        "events_compacted": events_compacted,
         # Metrics.
-        "ltv_basic": _over_events(lambda e: op.in_read_order(op.ltv_basic(e), "ltv_metrics")),
+        "ltv_basic": _over_events(lambda e: op.in_read_order(op.ltv_basic(e, REPORT), "ltv_metrics")),
         "ltv_basic_all_amounts": _over_events(
-            lambda e: op.in_read_order(op.ltv_basic(e), "ltv_metrics"), GIVEN_EVENTS_ALL_AMOUNTS
+            lambda e: op.in_read_order(op.ltv_basic(e, REPORT), "ltv_metrics"), GIVEN_EVENTS_ALL_AMOUNTS
         ),
-        "ltv_detail": _over_events(lambda e: op.in_read_order(op.ltv_detail(e), "ltv_detail")),
+        "ltv_detail": _over_events(lambda e: op.in_read_order(op.ltv_detail(e, REPORT), "ltv_detail")),
         "user_engagement": _over_events(op.user_engagement),
         "retention_summary": _over_events(op.retention_summary),
         "user_daily_activity": _over_events(
@@ -208,24 +310,24 @@ def _event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda e: op.in_read_order(op.funnel_volume(e), "funnel_volume")
         ),
         "revenue_hourly": _over_events(
-            lambda e: op.in_read_order(op.revenue_hourly(e), "revenue_trend"),
+            lambda e: op.in_read_order(op.revenue_hourly(e, REPORT), "revenue_trend"),
             only_types=(PURCHASE,),
         ),
         # Churn and segments.
         "churn_risk": _over_events(op.churn_risk),
-        "segment_features": _over_events(op.segment_features),
+        "segment_features": _over_events(lambda e: op.segment_features(e, REPORT)),
         "segment_features_scaled": _over_events(
-            lambda e: op.segment_features_scaled(op.segment_features(e), digits=6)
+            lambda e: op.segment_features_scaled(op.segment_features(e, REPORT), digits=6)
         ),
         "customer_segments": _over_events(
-            lambda e: op.fit_segments(op.segment_features(e)).users
+            lambda e: op.fit_segments(op.segment_features(e, REPORT), REPORT).users
         ),
         "segment_distribution": _over_events(
-            lambda e: op.segment_distribution(op.fit_segments(op.segment_features(e)).users)
+            lambda e: op.segment_distribution(op.fit_segments(op.segment_features(e, REPORT), REPORT).users)
         ),
         # Dashboard.
-        "kpi_global": _over_events(op.kpi_global),
-        "top_customers": _over_events(lambda e: op.top_customers(op.ltv_basic(e))),
+        "kpi_global": _over_events(lambda e: op.kpi_global(e, REPORT)),
+        "top_customers": _over_events(lambda e: op.top_customers(op.ltv_basic(e, REPORT))),
         "funnel_display": _over_events(
             lambda e: op.funnel_display(op.funnel_fixed(e)), only_types=FUNNEL_STAGES
         ),
@@ -235,9 +337,30 @@ def _event_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             only_types=(FUNNEL_STAGES[0], PURCHASE),
         ),
         "retention_row": _over_events(lambda e: op.retention_row(op.retention_summary(e))),
+        "segment_check": _over_events(
+            lambda e: op.segment_check(
+                op.fit_segments(op.segment_features(e, REPORT), REPORT).users
+            )
+        ),
+        "segment_model_reload": segment_model_reload,
+        "dashboard_parts": dashboard_parts,
+        # The same metrics where users lie on both sides of the thresholds and amounts can be null.
+        "daily_retention": _over_daily(op.retention_summary),
+        "daily_cohorts": _over_daily(op.cohort_daily),
+        "daily_churn_summary": _over_daily(lambda e: op.churn_summary(op.churn_risk(e))),
+        "daily_churn_risk": _over_daily(op.churn_risk),
+        "daily_conversion": _over_daily(lambda e: op.conversion_rate(op.funnel_users(e))),
+        "daily_ltv_detail": _over_daily(lambda e: op.ltv_detail(e, REPORT)),
+        "daily_features": _over_daily(lambda e: op.segment_features(e, REPORT)),
+        "daily_features_scaled": _over_daily(
+            lambda e: op.segment_features_scaled(op.segment_features(e, REPORT), digits=6)
+        ),
         # Whole batch runs.
-        "local_profile": _profile(run_local_profile, LOCAL_FIGURES),
-        "warehouse_profile": _profile(run_warehouse_profile, WAREHOUSE_FIGURES),
+        "local_profile": _profile(run_local_profile, "local_profile"),
+        "warehouse_profile": _profile(run_warehouse_profile, "warehouse_profile"),
+        "sql_profile": _profile(
+            lambda spark, config: run_metrics(spark, list(SQL_RUN), config), "sql_profile"
+        ),
     }
 
 
@@ -255,6 +378,12 @@ _PURCHASE_AMOUNTS = _LOG.format(
     amount="CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0 AS DOUBLE) END"
 )
 _ALL_AMOUNTS = _LOG.format(amount="value")
+_DAILY_USERS = _LOG.format(
+    amount="CASE WHEN event_type <> 'purchase' THEN 0.0 WHEN event_id % 2 = 0 THEN value END"
+).replace(
+    "CAST(user_id AS VARCHAR) AS user_id",
+    "CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS user_id",
+)
 
 _LTV_BASIC = """
 SELECT user_id, round(SUM(amount), 2) AS total_ltv, COUNT(user_id) AS event_count
@@ -278,11 +407,7 @@ _FEATURES = """
 SELECT user_id, COUNT("timestamp") AS frequency, round(SUM(amount), 2) AS monetary
 FROM log GROUP BY user_id"""
 
-# Event text carries whole seconds.
-_IN_SECONDS = """
-SELECT user_id, event_type, amount, CAST(date_trunc('second', "timestamp") AS TIMESTAMP)
-         AS "timestamp"
-FROM log"""
+_AS_IT_IS = 'SELECT user_id, event_type, amount, "timestamp" FROM log'
 
 _RETENTION = """
 SELECT COUNT(*) AS total_users,
@@ -323,41 +448,153 @@ SELECT CAST(date_trunc('hour', "timestamp") AS TIMESTAMP) AS revenue_hour,
 FROM log WHERE event_type = 'purchase' GROUP BY 1"""
 
 
-def _figures(columns: dict[str, str]) -> str:
-    """Rows and figure of each table of a run, from the SQL of the table."""
-    sources = {
-        "ltv_metrics": _LTV_BASIC,
-        "retention_metrics": _RETENTION,
-        "cohort_metrics": _COHORTS,
-        "funnel_metrics": _FUNNEL_FIXED,
-        "churn_metrics": _CHURN_RISK,
-        "user_segments": _FEATURES,
-        "ltv_detail": _LTV_DETAIL,
-        "funnel_volume": _FUNNEL_VOLUME,
-        "user_daily_activity": _DAILY_ACTIVITY,
-        "revenue_trend": _REVENUE,
-    }
+_COHORTS_KEEP_NULL = """
+SELECT strftime(first_at, '%Y-%m-%d') AS cohort_day, COUNT(user_id) AS user_count
+FROM (SELECT user_id, MIN("timestamp") AS first_at FROM log GROUP BY user_id)
+GROUP BY 1"""
+
+_FUNNEL_USERS = """
+SELECT event_type AS stage, COUNT(DISTINCT user_id) AS user_count FROM log GROUP BY event_type"""
+
+# What a proper K-means result over all users shows; see segment_check.
+_SEGMENT_CHECK = f"""
+SELECT COUNT(*) AS users, CAST(3 AS BIGINT) AS segments, round(SUM(monetary), 2) AS spend,
+       CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS disordered
+FROM ({_FEATURES})"""
+
+_KPI = """
+SELECT COUNT(DISTINCT user_id) AS total_users, COALESCE(round(SUM(amount), 2), 0.0)
+         AS total_revenue,
+       COUNT(*) AS total_events
+FROM log"""
+
+_TOP = f"""
+SELECT CAST(row_number() OVER (ORDER BY total_ltv DESC, user_id) AS INTEGER) AS rank,
+       user_id, total_ltv
+FROM ({_LTV_BASIC}) ORDER BY total_ltv DESC, user_id LIMIT 5"""
+
+_CHURN_SUMMARY = f"""
+SELECT CAST(COALESCE(SUM(is_at_risk), 0) AS BIGINT) AS at_risk_count,
+       COUNT(*) AS total_evaluated,
+       COALESCE(round(CAST(SUM(is_at_risk) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2), 0.0)
+         AS churn_rate
+FROM ({_CHURN_RISK})"""
+
+_CONVERSION = """
+SELECT round(CAST(COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS DOUBLE)
+             * 100.0
+             / NULLIF(COUNT(DISTINCT CASE WHEN event_type = 'login' THEN user_id END), 0), 2)
+         AS conversion_rate
+FROM log"""
+
+_FEATURES_SCALED = f"""
+SELECT user_id,
+       round((frequency - AVG(frequency) OVER ())
+             / COALESCE(NULLIF(stddev_pop(frequency) OVER (), 0), 1), 6) AS frequency_scaled,
+       round((monetary - AVG(monetary) OVER ())
+             / COALESCE(NULLIF(stddev_pop(monetary) OVER (), 0), 1), 6) AS monetary_scaled
+FROM (SELECT user_id, frequency, COALESCE(monetary, 0) AS monetary FROM ({_FEATURES}))"""
+
+#: Tables of the runs: SQL, and the columns in order of name with how they are shown as text.
+_TABLES = {
+    "ltv_metrics": (_LTV_BASIC, "event_count total_ltv:money user_id"),
+    "ltv_detail": (
+        _LTV_DETAIL,
+        "avg_order_value:money customer_lifespan_days first_order_date:time last_order_date:time "
+        "total_ltv:money total_orders user_id",
+    ),
+    "retention_metrics": (_RETENTION, "retained_users retention_rate:money total_users"),
+    "cohort_metrics": (_COHORTS, "cohort_day user_count"),
+    "cohort_metrics_keep_null_day": (_COHORTS_KEEP_NULL, "cohort_day user_count"),
+    "funnel_metrics": (_FUNNEL_FIXED, "stage user_count"),
+    "funnel_observed": (_FUNNEL_USERS, "stage user_count"),
+    "funnel_volume": (_FUNNEL_VOLUME, "stage total_events unique_users"),
+    "user_daily_activity": (
+        _DAILY_ACTIVITY, "active_days first_active:time last_active:time user_id"
+    ),
+    "revenue_trend": (_REVENUE, "purchase_count revenue_hour:time total_revenue:money"),
+    "churn_metrics": (_CHURN_RISK, "event_count is_at_risk purchase_count user_id"),
+    "user_segments": (_SEGMENT_CHECK, "disordered misplaced segments spend:money users"),
+}
+_PARTS = {
+    "stats": (_KPI, "total_events total_revenue:money total_users"),
+    "top_customers": (_TOP, "rank total_ltv:money user_id"),
+    "funnel": (f"SELECT upper(stage) AS stage, user_count FROM ({_FUNNEL_FIXED})", "stage user_count"),
+    "conversion": (_CONVERSION, "conversion_rate:money"),
+    "segments": (
+        f"SELECT CAST(3 AS BIGINT) AS segments, COUNT(*) AS users FROM ({_FEATURES})", "segments users"
+    ),
+    "cohorts": (_COHORTS, "cohort_day user_count"),
+    "retention": (_RETENTION, "retained_users retention_rate:money total_users"),
+    "churn": (_CHURN_SUMMARY, "at_risk_count churn_rate:money total_evaluated"),
+}
+
+
+def _rows_as_text(name_column: str, tables: dict[str, tuple[str, str]]) -> str:
+    """All rows of some tables as text, as ``_as_text`` makes it."""
+
+    def shown(column: str) -> str:
+        name, _, kind = column.partition(":")
+        value = {"money": f"CAST(round({name} * 100) AS BIGINT)", "time": f"epoch_us({name})"}
+        return f"COALESCE(CAST({value.get(kind, name)} AS VARCHAR), '-')"
+
     return "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, "
-        f"round(CAST(SUM({column}) AS DOUBLE), 2) AS figure FROM ({sources[name]})"
-        for name, column in columns.items()
+        f"SELECT '{name}' AS {name_column}, concat_ws('|', {', '.join(map(shown, columns.split()))}) "
+        f"AS row FROM ({sql})"
+        for name, (sql, columns) in tables.items()
     )
 
 
+def _run_sql(*names: str) -> str:
+    return _rows_as_text("table_name", {name: _TABLES[name] for name in names})
+
+
+def _before(day: str, sql: str) -> str:
+    return sql.replace("FROM log", f"FROM (SELECT * FROM log WHERE \"timestamp\" < '{day}') log")
+
+
+def _dashboard_sql() -> str:
+    """The parts read from tables show the run before the last load; the key figures show all."""
+    since_run = {name: part for name, part in _PARTS.items() if name != "stats"}
+    of_run = _rows_as_text("part", since_run)
+    # The funnel joins the log under a short name.
+    of_run = of_run.replace("JOIN log l", "JOIN (SELECT * FROM log WHERE \"timestamp\" < '2024-01-20') l")
+    return _rows_as_text("part", {"stats": _PARTS["stats"]}) + "\nUNION ALL\n" + _before("2024-01-20", of_run)
+
+
 def _event_sql() -> dict[str, str]:
     over_purchases = {
-        "events_canonical": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
-        "csv_events_scan": _IN_SECONDS,
+        "events_canonical": _AS_IT_IS,
+        "csv_events_scan": _AS_IT_IS,
         "events_to_json": """
 SELECT CAST(to_json({
          'user_id': user_id, 'event_type': event_type, 'amount': amount,
-         'timestamp': strftime("timestamp", '%Y-%m-%d %H:%M:%S')}) AS VARCHAR) AS value
+         'timestamp': CAST("timestamp" AS VARCHAR)}) AS VARCHAR) AS value
 FROM log""",
-        "events_table_load": 'SELECT user_id, event_type, amount, "timestamp" FROM log',
-        "staged_csv_load": _IN_SECONDS,
-        "stream_ingest": _IN_SECONDS,
-        "local_profile": _figures(LOCAL_FIGURES),
-        "warehouse_profile": _figures(WAREHOUSE_FIGURES),
+        "events_table_load": _AS_IT_IS,
+        "staged_csv_load": _AS_IT_IS,
+        "stream_ingest": _AS_IT_IS,
+        "events_compacted": _AS_IT_IS,
+        "stream_quarantine": """
+SELECT CASE event_type WHEN 'add_to_cart' THEN 'malformed' WHEN 'product_view' THEN 'missing field'
+                       ELSE 'stored' END AS reason, COUNT(*) AS messages
+FROM log GROUP BY 1""",
+        "local_profile": _run_sql(
+            "ltv_metrics", "retention_metrics", "cohort_metrics", "funnel_metrics",
+            "churn_metrics", "user_segments",
+        ),
+        "warehouse_profile": _run_sql(
+            "ltv_detail", "funnel_volume", "user_daily_activity", "revenue_trend",
+            "churn_metrics", "user_segments",
+        ),
+        "sql_profile": _run_sql(
+            "ltv_detail", "retention_metrics", "cohort_metrics_keep_null_day", "funnel_observed"
+        ),
+        "dashboard_parts": _dashboard_sql(),
+        "segment_check": _SEGMENT_CHECK,
+        "segment_model_reload": (
+            f"SELECT user_id, frequency, monetary, TRUE AS same_label FROM ({_FEATURES})"
+        ),
         "ltv_basic": _LTV_BASIC,
         "ltv_detail": _LTV_DETAIL,
         "user_engagement": """
@@ -369,48 +606,30 @@ FROM log GROUP BY user_id""",
         "user_daily_activity": _DAILY_ACTIVITY,
         "user_signup": 'SELECT user_id, MIN("timestamp") AS signup_date FROM log GROUP BY user_id',
         "cohort_daily": _COHORTS,
-        "cohort_daily_keep_null_day": """
-SELECT strftime(first_at, '%Y-%m-%d') AS cohort_day, COUNT(user_id) AS user_count
-FROM (SELECT user_id, MIN("timestamp") AS first_at FROM log GROUP BY user_id)
-GROUP BY 1""",
+        "cohort_daily_keep_null_day": _COHORTS_KEEP_NULL,
         "funnel_fixed": _FUNNEL_FIXED,
-        "funnel_users": """
-SELECT event_type AS stage, COUNT(DISTINCT user_id) AS user_count FROM log GROUP BY event_type""",
+        "funnel_users": _FUNNEL_USERS,
         "funnel_volume": _FUNNEL_VOLUME,
         "revenue_hourly": _REVENUE,
         "churn_risk": _CHURN_RISK,
         "segment_features": _FEATURES,
-        "segment_features_scaled": f"""
-SELECT user_id,
-       round((frequency - AVG(frequency) OVER ())
-             / COALESCE(NULLIF(stddev_pop(frequency) OVER (), 0), 1), 6) AS frequency_scaled,
-       round((monetary - AVG(monetary) OVER ())
-             / COALESCE(NULLIF(stddev_pop(monetary) OVER (), 0), 1), 6) AS monetary_scaled
-FROM (SELECT user_id, frequency, COALESCE(monetary, 0) AS monetary FROM ({_FEATURES}))""",
-        "kpi_global": """
-SELECT COUNT(DISTINCT user_id) AS total_users, COALESCE(round(SUM(amount), 2), 0.0)
-         AS total_revenue,
-       COUNT(*) AS total_events
-FROM log""",
-        "top_customers": f"""
-SELECT CAST(row_number() OVER (ORDER BY total_ltv DESC, user_id) AS INTEGER) AS rank,
-       user_id, total_ltv
-FROM ({_LTV_BASIC}) ORDER BY total_ltv DESC, user_id LIMIT 5""",
+        "segment_features_scaled": _FEATURES_SCALED,
+        "kpi_global": _KPI,
+        "top_customers": _TOP,
         "funnel_display": f"SELECT upper(stage) AS stage, user_count FROM ({_FUNNEL_FIXED})",
-        "churn_summary": f"""
-SELECT CAST(COALESCE(SUM(is_at_risk), 0) AS BIGINT) AS at_risk_count,
-       COUNT(*) AS total_evaluated,
-       COALESCE(round(CAST(SUM(is_at_risk) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 2), 0.0)
-         AS churn_rate
-FROM ({_CHURN_RISK})""",
-        "conversion_rate": """
-SELECT round(CAST(COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS DOUBLE)
-             * 100.0
-             / NULLIF(COUNT(DISTINCT CASE WHEN event_type = 'login' THEN user_id END), 0), 2)
-         AS conversion_rate
-FROM log""",
+        "churn_summary": _CHURN_SUMMARY,
+        "conversion_rate": _CONVERSION,
     }
-    over_all = {"ltv_basic_all_amounts": _LTV_BASIC}
-    return {key: _PURCHASE_AMOUNTS + sql for key, sql in over_purchases.items()} | {
-        key: _ALL_AMOUNTS + sql for key, sql in over_all.items()
+    over_daily = {
+        "daily_retention": _RETENTION,
+        "daily_cohorts": _COHORTS,
+        "daily_churn_summary": _CHURN_SUMMARY,
+        "daily_churn_risk": _CHURN_RISK,
+        "daily_conversion": _CONVERSION,
+        "daily_ltv_detail": _LTV_DETAIL,
+        "daily_features": _FEATURES,
+        "daily_features_scaled": _FEATURES_SCALED,
     }
+    over_all = {"ltv_basic_all_amounts": _LTV_BASIC}
+    logs = ((_PURCHASE_AMOUNTS, over_purchases), (_ALL_AMOUNTS, over_all), (_DAILY_USERS, over_daily))
+    return {key: log + sql for log, over in logs for key, sql in over.items()}

@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # The funnel stages in lifecycle order, the event type that carries money,
-# the text format of event times, the segment names from the lowest mean spend up, and
+# the text format that event times are read in, fractions of a second optional, the segment names from the lowest mean spend up, and
 # the thresholds of the two per-user rules.
 FUNNEL_STAGES = ("login", "product_view", "add_to_cart", "purchase")
 PURCHASE = "purchase"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 SEGMENT_LABELS = ("Low Value", "Medium Value", "High Value")
 RETAINED_ABOVE_EVENTS = 3
 AT_RISK_MAX_EVENTS = 2
@@ -25,7 +25,11 @@ class AnalyticsConfig:
 
     # Decimals that reported money sums are rounded to, so that a double sum does not
     # depend on the order of rows and partitions. None reports the plain sum.
-    money_digits: int | None = 2
+    money_digits: int | None = None
+
+    # Text format of event times in CSV and messages; None writes them as Spark shows them,
+    # with fractions of a second where there are any, which TIMESTAMP_FORMAT reads.
+    timestamp_format: str | None = None
 
     segment_count: int = 3
     segment_labels: tuple[str, ...] = SEGMENT_LABELS
@@ -35,13 +39,22 @@ class AnalyticsConfig:
     segment_max_iterations: int = 300
     segment_tolerance: float = 1e-4
 
+    # Partitions that users are dealt over for training. A number of its own, so that the
+    # same users give the same segments on any cluster; raise it with the number of users.
+    segment_partitions: int = 8
+
     top_customers: int = 5
 
     # Stream micro-batch interval.
     flush_interval: str = "20 seconds"
 
-    # Buckets of the shared per-user rollup. None follows spark.sql.shuffle.partitions.
+    # Buckets of a run's per-user rollup: None takes one per so many rows of the stored rollup,
+    # and no fewer than spark.sql.shuffle.partitions.
     rollup_buckets: int | None = None
+    rollup_bucket_rows: int = 5_000_000
+
+    # Metrics of a run that are computed side by side.
+    metric_parallelism: int = 4
 
     database: str = "default"
     events_table: str = "events"

@@ -9,6 +9,7 @@ from clickmetrics.functions.columns import (
     percent,
     safe_divide,
     sum_when,
+    time_text,
     to_event_time,
     whole_days_between,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "percent",
     "safe_divide",
     "sum_when",
+    "time_text",
     "to_event_time",
     "whole_days_between",
 ]

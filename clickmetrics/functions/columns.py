@@ -53,6 +53,11 @@ def whole_days_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("DAY", start, end)
 
 
+def time_text(moment: Column, fmt: str | None = None) -> Column:
+    """An event time as text, by default with fractions of a second where there are any."""
+    return moment.cast("string") if fmt is None else F.date_format(moment, fmt)
+
+
 def to_event_time(text: Column, strict: bool = True) -> Column:
     """Parse event-time text; text that does not parse fails, or gives null if not strict."""
     parse = F.to_timestamp if strict else F.try_to_timestamp

@@ -18,6 +18,7 @@ from clickmetrics.operators.revenue import revenue_hourly
 from clickmetrics.operators.segments import (
     SegmentModel,
     fit_segments,
+    segment_check,
     segment_distribution,
     segment_features,
     segment_features_scaled,
@@ -54,6 +55,7 @@ __all__ = [
     "retention_row",
     "retention_summary",
     "revenue_hourly",
+    "segment_check",
     "segment_distribution",
     "segment_features",
     "segment_features_scaled",

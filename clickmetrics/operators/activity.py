@@ -18,6 +18,8 @@ DATED_EVENTS = "dated_events"  # rows with a timestamp
 AMOUNT = "amount"  # sum of amounts, null when there is none
 FIRST_AT = "first_at"
 LAST_AT = "last_at"
+#: In the stored rollup: the hour of purchases, null for other events.
+PURCHASE_HOUR = "purchase_hour"
 ACTIVITY_COLUMNS = ("user_id", "event_type", EVENTS, DATED_EVENTS, AMOUNT, FIRST_AT, LAST_AT)
 
 

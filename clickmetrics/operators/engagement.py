@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.functions import day_of, percent
 from clickmetrics.operators.activity import DATED_EVENTS, as_activity
+from clickmetrics.schema import DAY_COLUMN
 
 
 def user_engagement(events: DataFrame) -> DataFrame:
@@ -47,9 +48,12 @@ def user_daily_activity(events: DataFrame) -> DataFrame:
     """Days on which each user acted: how many, the first and the last.
 
     The first grouping removes repeats of a day map-side, so what a user sends over the
-    network is bounded by the number of days, not of events.
+    network is bounded by the number of days, not of events. The stored rollup, which has its
+    rows by day, does as well as events.
     """
-    days = events.select("user_id", day_of(F.col("timestamp")).alias("activity_date")).distinct()
+    by_day = "timestamp" not in events.columns
+    day = F.col(DAY_COLUMN).cast("timestamp") if by_day else day_of(F.col("timestamp"))
+    days = events.select("user_id", day.alias("activity_date")).distinct()
     return days.groupBy("user_id").agg(
         F.count("activity_date").alias("active_days"),
         F.min("activity_date").alias("first_active"),

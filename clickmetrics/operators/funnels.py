@@ -12,19 +12,19 @@ from clickmetrics.operators.activity import as_activity, known_user_events
 def funnel_fixed(events: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
     """Distinct users of each configured stage, in stage order, zero for an unused stage.
 
-    The counts side of the join has at most one row per configured stage, since other event
-    types are filtered out in the scan; that bounds the broadcast.
+    A row without a user stands for each stage in the grouping, which counts users only, so a
+    stage that nobody reached comes out as zero. Other event types are filtered out in the scan.
     """
     stages = list(config.funnel_stages)
-    positions = events.sparkSession.range(1, numPartitions=1).select(
-        F.posexplode(F.array(*map(F.lit, stages))).alias("position", "stage")
+    every_stage = events.sparkSession.range(1, numPartitions=1).select(
+        F.lit(None).cast("string").alias("user_id"),
+        F.explode(F.array(*map(F.lit, stages))).alias("event_type"),
     )
-    counts = funnel_users(events.filter(F.col("event_type").isin(stages)))
-    return (
-        positions.join(F.broadcast(counts), "stage", "left")
-        .orderBy("position")
-        .select("stage", F.coalesce("user_count", F.lit(0).cast("bigint")).alias("user_count"))
+    reached = events.filter(F.col("event_type").isin(stages)).select("user_id", "event_type")
+    counts = reached.union(every_stage).groupBy(F.col("event_type").alias("stage")).agg(
+        F.count_distinct("user_id").alias("user_count")
     )
+    return counts.orderBy(F.array_position(F.array(*map(F.lit, stages)), F.col("stage")))
 
 
 def funnel_users(events: DataFrame) -> DataFrame:

@@ -13,14 +13,15 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmetrics.config import AnalyticsConfig
+from clickmetrics.config import SEGMENT_LABELS, AnalyticsConfig
 from clickmetrics.functions import money
 from clickmetrics.operators.activity import AMOUNT, DATED_EVENTS, as_activity
-from clickmetrics.session import ensure_checkpoint_dir
+from clickmetrics.session import in_shared_folder
 
 log = logging.getLogger(__name__)
 
 FEATURES = ("frequency", "monetary")
+WEIGHT = "weight"
 
 
 def segment_features(events: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
@@ -90,17 +91,26 @@ def fit_segments(
 ) -> Segmentation | None:
     """Cluster users and label the clusters by mean spend; None with fewer users than clusters.
 
-    The features are checkpointed first: training passes over them many times, and a lost
-    executor must not send it back to the event log.
+    The features are stored first: training passes over them many times, and a lost executor
+    must not send it back to the event log. Users with equal features are one point with a
+    weight. Points are dealt out and sorted by their values over a configured number of
+    partitions, so the result does not depend on how the features were partitioned.
     """
-    ensure_checkpoint_dir(features.sparkSession)
-    staged = features.checkpoint()
+    staged = in_shared_folder(features, "features")
     if staged.limit(config.segment_count).count() < config.segment_count:
         log.warning("fewer users than the %d segments asked for", config.segment_count)
         return None
 
-    scaling = _scaling().fit(staged)
-    scaled = scaling.transform(staged).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    points = (
+        staged.fillna(0, subset=list(FEATURES))
+        .groupBy(*FEATURES)
+        .agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+        .repartition(config.segment_partitions, *FEATURES)
+        .sortWithinPartitions(*FEATURES)
+    )
+    ordered = staged.repartition(config.segment_partitions, "user_id").sortWithinPartitions("user_id")
+    scaling = _scaling().fit(ordered)
+    scaled = scaling.transform(points).select("scaled", WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clusters = _best_of_starts(scaled, config)
     finally:
@@ -112,6 +122,46 @@ def fit_segments(
     return Segmentation(model, model.transform(staged))
 
 
+def segment_check(users: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Figures in one row that tell whether segmented users are a proper K-means result: users,
+    segments, their spend, ``misplaced`` users to whom another segment's mean is nearer by
+    more than ``tolerance``, and ``disordered`` segments that spend less than one named lower.
+
+    Distances are between features scaled to deviation 1. The means are one row per segment.
+    """
+    filled = users.fillna(0, subset=["monetary"]).select(
+        "user_id", "segment_id", "segment_label", "monetary", "frequency"
+    )
+    spread = filled.agg(*[F.stddev_pop(name).alias(f"{name}_spread") for name in FEATURES]).first()
+    for name in FEATURES:
+        filled = filled.withColumn(f"{name}_scaled", F.col(name) / (spread[f"{name}_spread"] or 1.0))
+    coordinates = [f"{name}_scaled" for name in FEATURES]
+    centers = (
+        filled.groupBy("segment_id", "segment_label")
+        .agg(F.avg("monetary").alias("spend"), *[F.avg(name).alias(name) for name in coordinates])
+        .orderBy("spend")
+        .collect()
+    )
+
+    def distance(center) -> Column:
+        return sum(F.pow(F.col(name) - center[name], 2) for name in coordinates)
+
+    own = F.lit(None).cast("double")
+    for center in centers:
+        own = F.when(F.col("segment_id") == center.segment_id, distance(center)).otherwise(own)
+    nearest = F.least(*[distance(center) for center in centers]) if len(centers) > 1 else own
+    by_name = {label: rank for rank, label in enumerate(SEGMENT_LABELS)}
+    ranks = [by_name.get(center.segment_label, len(by_name)) for center in centers]
+    disordered = sum(later < earlier for earlier, later in zip(ranks, ranks[1:]))
+    return filled.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_distinct("segment_id").alias("segments"),
+        F.round(F.sum("monetary"), 2).alias("spend"),
+        F.count_if(own > nearest + tolerance).alias("misplaced"),
+        F.lit(disordered).cast("bigint").alias("disordered"),
+    )
+
+
 def segment_distribution(users: DataFrame) -> DataFrame:
     """Users per segment label."""
     return users.groupBy(F.col("segment_label").alias("label")).agg(
@@ -144,6 +194,7 @@ def _best_of_starts(scaled: DataFrame, config: AnalyticsConfig) -> KMeansModel:
         k=config.segment_count,
         maxIter=config.segment_max_iterations,
         tol=config.segment_tolerance,
+        weightCol=WEIGHT,
     )
     starts = [
         {kmeans.seed: config.segment_seed + index} for index in range(config.segment_starts)

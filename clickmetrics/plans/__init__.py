@@ -1,14 +1,25 @@
 """Whole runs: which metrics are built from what, and what a dashboard reads."""
 
-from clickmetrics.plans.dashboard import dashboard_records, dashboard_snapshot
-from clickmetrics.plans.profiles import run_local_profile, run_warehouse_profile, verify_events
-from clickmetrics.plans.rollup import store_rollup
+from clickmetrics.plans.dashboard import DashboardPartError, dashboard_records, dashboard_snapshot
+from clickmetrics.plans.profiles import (
+    SQL_RUN,
+    run_local_profile,
+    run_metrics,
+    run_warehouse_profile,
+    verify_events,
+)
+from clickmetrics.plans.rollup import current_activity, refresh_rollup, run_rollup
 
 __all__ = [
+    "SQL_RUN",
+    "DashboardPartError",
+    "current_activity",
     "dashboard_records",
     "dashboard_snapshot",
+    "refresh_rollup",
     "run_local_profile",
+    "run_metrics",
+    "run_rollup",
     "run_warehouse_profile",
-    "store_rollup",
     "verify_events",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,26 @@ from pyspark.sql import types as T
 
 from clickmetrics import operators as op
 from clickmetrics.config import AnalyticsConfig
+from clickmetrics.plans.rollup import current_activity
 from clickmetrics.schema import EVENT_SCHEMA, METRIC_SCHEMAS
 from clickmetrics.sources.tables import metric_table
 
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class DashboardPartError:
+    """Stands for a part that failed."""
+
+    part: str
+    reason: str
+
+
 def dashboard_snapshot(
     spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()
 ) -> dict[str, DataFrame]:
-    """All parts of the dashboard. The key figures are counted from the events, the rest
-    is read from the tables of the last run.
+    """All parts of the dashboard. The key figures are counted from the stored rollup and the
+    events since, the rest is read from the tables of the last run.
 
     A part whose table is missing or has another shape shows its default and does not disturb
     the others.
@@ -37,8 +47,13 @@ def dashboard_snapshot(
             log.warning("table %s cannot be shown: %s", table, error)
             return build(spark.createDataFrame([], schema))
 
+    def stats() -> DataFrame:
+        if not spark.catalog.tableExists(config.table(config.events_table)):
+            return op.kpi_global(spark.createDataFrame([], EVENT_SCHEMA), config)
+        return op.kpi_global(current_activity(spark, config), config)
+
     return {
-        "stats": part(config.events_table, lambda e: op.kpi_global(e, config), EVENT_SCHEMA),
+        "stats": stats(),
         "top_customers": part("ltv_metrics", lambda ltv: op.top_customers(ltv, config)),
         "funnel": part("funnel_metrics", op.funnel_display),
         "conversion": part("funnel_metrics", op.conversion_rate),
@@ -51,13 +66,16 @@ def dashboard_snapshot(
 
 def dashboard_records(
     spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()
-) -> dict[str, list[dict]]:
-    """The snapshot as plain records. Parts have a row per stage, label or day at most."""
-    records = {}
+) -> dict[str, list[dict] | DashboardPartError]:
+    """The snapshot as plain records. Parts have a row per stage, label or day at most.
+
+    A part that cannot be computed is an error value in its place, not an empty list.
+    """
+    records: dict[str, list[dict] | DashboardPartError] = {}
     for name, frame in dashboard_snapshot(spark, config).items():
         try:
             records[name] = [row.asDict() for row in frame.collect()]
         except PySparkException as error:
             log.warning("part %s cannot be read: %s", name, error)
-            records[name] = []
+            records[name] = DashboardPartError(name, str(error))
     return records

@@ -1,66 +1,111 @@
-"""The two batch runs: each reads the stored events and replaces its metric tables.
+"""The two batch runs: each brings the stored rollup up to date and replaces its metric tables.
 
-Metrics come first, segments and churn after them, as Spark jobs one after the other; each job
-is spread over the whole cluster. An error stops the run and is raised.
+Metrics come first, several side by side, segments and churn after them; each is a Spark job spread
+over the whole cluster. An error stops the run and is raised.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+from multiprocessing.pool import ThreadPool
 from typing import Literal
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics import operators as op
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.plans.rollup import store_rollup
+from clickmetrics.plans.rollup import days_between, refresh_rollup, run_rollup
 from clickmetrics.schema import EventSchemaError, require_event_columns
+from clickmetrics.sinks.events import create_events_table
 from clickmetrics.sinks.metrics import save_metric
 from clickmetrics.sources.tables import events_table
 
 OnEmpty = Literal["keep", "replace"]
+Build = Callable[[DataFrame, AnalyticsConfig], DataFrame]
+
+#: Metrics per user, built from a run's rollup by user.
+USER_METRICS: dict[str, Build] = {
+    "ltv_metrics": op.ltv_basic,
+    "ltv_detail": op.ltv_detail,
+    "retention_metrics": lambda rollup, config: op.retention_summary(
+        rollup, config, row_without_users=False
+    ),
+    "cohort_metrics": lambda rollup, config: op.cohort_daily(rollup, "drop_null_day"),
+    "cohort_metrics_keep_null_day": lambda rollup, config: op.cohort_daily(rollup, "keep_null_day"),
+    "funnel_metrics": op.funnel_fixed,
+    "funnel_observed": lambda rollup, config: op.funnel_users(rollup),
+    "funnel_volume": lambda rollup, config: op.funnel_volume(rollup),
+    "churn_metrics": op.churn_risk,
+}
+#: Metrics over time, built from the stored rollup.
+TIME_METRICS: dict[str, Build] = {
+    "user_daily_activity": lambda rollup, config: op.user_daily_activity(rollup),
+    "revenue_trend": op.revenue_hourly,
+}
+SEGMENTS = "user_segments"
+
+LOCAL_RUN = ("ltv_metrics", "retention_metrics", "cohort_metrics", "funnel_metrics")
+WAREHOUSE_RUN = ("ltv_detail", "funnel_volume", "user_daily_activity", "revenue_trend")
+#: The warehouse's models in their third form: detailed values, retention in one row, cohorts with
+#: an unknown day, and the funnel of the types found.
+SQL_RUN = ("ltv_detail", "retention_metrics", "cohort_metrics_keep_null_day", "funnel_observed")
 
 
 def run_local_profile(
     spark: SparkSession,
     config: AnalyticsConfig = AnalyticsConfig(),
     model_path: str | None = None,
+    since: date | None = None,
+    until: date | None = None,
 ) -> list[str]:
     """Lifetime value, retention, cohorts and funnel, then segments and churn.
 
-    A metric without rows leaves its old table. Returns the names of the tables replaced.
+    A metric without rows leaves its old table. ``since`` and ``until`` limit the run to days.
+    Returns the names of the tables replaced.
     """
-    rollup = store_rollup(events_table(spark, config), config)
-    metrics = {
-        "ltv_metrics": op.ltv_basic(rollup, config),
-        "retention_metrics": op.retention_summary(rollup, config, row_without_users=False),
-        "cohort_metrics": op.cohort_daily(rollup, "drop_null_day"),
-        "funnel_metrics": op.funnel_fixed(rollup, config),
-    }
-    return _save_all(metrics, config, "keep") + _save_models(rollup, config, model_path)
+    create_events_table(spark, config)
+    return _run(spark, config, LOCAL_RUN, "keep", model_path, since, until)
 
 
 def run_warehouse_profile(
     spark: SparkSession,
     config: AnalyticsConfig = AnalyticsConfig(),
     model_path: str | None = None,
+    since: date | None = None,
+    until: date | None = None,
 ) -> list[str]:
     """Check the events, then detailed lifetime value, volume funnel, daily activity and
     hourly revenue, then segments and churn.
 
     A metric without rows empties its table. Returns the names of the tables replaced.
+    """
+    verify_events(spark, config)
+    return _run(spark, config, WAREHOUSE_RUN, "replace", model_path, since, until)
+
+
+def run_metrics(
+    spark: SparkSession,
+    names: list[str],
+    config: AnalyticsConfig = AnalyticsConfig(),
+    on_empty: OnEmpty = "keep",
+    since: date | None = None,
+    until: date | None = None,
+    more: dict[str, Build] | None = None,
+) -> list[str]:
+    """Replace single metrics, such as one of a run that failed, or ``SQL_RUN``, or one's own.
 
-    Daily activity and revenue need times that the rollup no longer has. Each reads its two or
-    three columns of the log, revenue only the row groups with purchases.
+    ``more`` has further metrics by name: functions of the rollup by user and the settings.
     """
-    events = verify_events(spark, config)
-    rollup = store_rollup(events, config)
-    metrics = {
-        "ltv_detail": op.ltv_detail(rollup, config),
-        "funnel_volume": op.funnel_volume(rollup),
-        "user_daily_activity": op.user_daily_activity(events),
-        "revenue_trend": op.revenue_hourly(events, config),
-    }
-    return _save_all(metrics, config, "replace") + _save_models(rollup, config, model_path)
+    user_metrics = USER_METRICS | (more or {})
+    unknown = set(names) - {*user_metrics, *TIME_METRICS}
+    if unknown:
+        raise ValueError(f"no such metric: {', '.join(sorted(unknown))}")
+    create_events_table(spark, config)
+    rollup = days_between(refresh_rollup(spark, config), since, until)
+    with run_rollup(rollup, config) as by_user:
+        return _save_all(_built(names, rollup, by_user, user_metrics, config), config, on_empty)
 
 
 def verify_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
@@ -71,20 +116,53 @@ def verify_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig
     return events
 
 
-def _save_all(
-    metrics: dict[str, DataFrame], config: AnalyticsConfig, on_empty: OnEmpty
+def _run(
+    spark: SparkSession,
+    config: AnalyticsConfig,
+    names: tuple[str, ...],
+    on_empty: OnEmpty,
+    model_path: str | None,
+    since: date | None,
+    until: date | None,
 ) -> list[str]:
-    return [name for name, metric in metrics.items() if save_metric(metric, name, config, on_empty)]
+    rollup = days_between(refresh_rollup(spark, config), since, until)
+    with run_rollup(rollup, config) as by_user:
+        metrics = _built(names, rollup, by_user, USER_METRICS, config)
+        saved = _save_all(metrics, config, on_empty)
+        return saved + _save_models(by_user, config, model_path)
+
+
+def _built(
+    names, rollup: DataFrame, by_user: DataFrame, user_metrics: dict[str, Build], config: AnalyticsConfig
+) -> dict[str, DataFrame]:
+    return {
+        name: TIME_METRICS[name](rollup, config)
+        if name in TIME_METRICS
+        else user_metrics[name](by_user, config)
+        for name in names
+    }
 
 
-def _save_models(rollup: DataFrame, config: AnalyticsConfig, model_path: str | None) -> list[str]:
-    tables = {"churn_metrics": op.churn_risk(rollup, config)}
-    # Training passes over the features many times: give it partitions of a good size instead of
-    # one per bucket, at the price of one shuffle.
-    features = op.segment_features(rollup, config).hint("rebalance")
-    segmentation = op.fit_segments(features, config)
+def _save_all(
+    metrics: dict[str, DataFrame], config: AnalyticsConfig, on_empty: OnEmpty
+) -> list[str]:
+    """Save metrics, several at a time; the names of those replaced, in their order."""
+    if not metrics:
+        return []
+    spark = next(iter(metrics.values())).sparkSession
+    save = inheritable_thread_target(spark)(
+        lambda item: save_metric(item[1], item[0], config, on_empty)
+    )
+    with ThreadPool(min(config.metric_parallelism, len(metrics))) as pool:
+        replaced = pool.map(save, metrics.items(), chunksize=1)
+    return [name for name, done in zip(metrics, replaced) if done]
+
+
+def _save_models(by_user: DataFrame, config: AnalyticsConfig, model_path: str | None) -> list[str]:
+    tables = {"churn_metrics": op.churn_risk(by_user, config)}
+    segmentation = op.fit_segments(op.segment_features(by_user, config), config)
     if segmentation is not None:
-        tables["user_segments"] = segmentation.users
+        tables[SEGMENTS] = segmentation.users
         if model_path is not None:
             segmentation.model.save(model_path)
     return _save_all(tables, config, "keep")

@@ -1,37 +1,192 @@
-"""The rollup that the metrics of one run share."""
+"""The rollups that metrics are built from: one that is kept, and one for each run."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import date
 
-from clickmetrics.config import AnalyticsConfig
-from clickmetrics.operators.activity import user_event_rollup
-from clickmetrics.session import shared_folder
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickmetrics.config import PURCHASE, AnalyticsConfig
+from clickmetrics.functions import hour_of
+from clickmetrics.operators.activity import (
+    ACTIVITY_COLUMNS,
+    AMOUNT,
+    DATED_EVENTS,
+    EVENTS,
+    FIRST_AT,
+    LAST_AT,
+    PURCHASE_HOUR,
+    as_activity,
+    user_event_rollup,
+)
+from clickmetrics.schema import DAY_COLUMN, EVENT_COLUMNS, LOAD_COLUMN, STORED_ROLLUP
+from clickmetrics.sinks.events import drop_partitions
+from clickmetrics.sources.tables import (
+    FOLDED_TABLE,
+    current_table,
+    hidden_partitions,
+    stored_partitions,
+)
 
 ROLLUP_TABLE = "user_event_rollup"
 
+Partition = tuple[str | None, str]
+
+
+def refresh_rollup(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
+    """Bring the stored rollup up to date with the events, and return it.
+
+    It has one row per day, load, user and event type, purchases also by hour, in partitions like
+    those of the events. Only partitions that it does not have yet are read; those of loads
+    that are gone, or were loaded again, were dropped. A run that breaks off while it writes
+    leaves whole partitions, and the next one reads the others.
+    """
+    table = config.table(STORED_ROLLUP)
+    spark.sql(
+        f"""
+        CREATE TABLE IF NOT EXISTS {table} (
+            user_id STRING, event_type STRING, {EVENTS} BIGINT, {DATED_EVENTS} BIGINT,
+            {AMOUNT} DOUBLE, {FIRST_AT} TIMESTAMP, {LAST_AT} TIMESTAMP, {PURCHASE_HOUR} TIMESTAMP,
+            {DAY_COLUMN} DATE, {LOAD_COLUMN} STRING
+        )
+        USING parquet
+        OPTIONS (partitionOverwriteMode 'dynamic')
+        PARTITIONED BY ({DAY_COLUMN}, {LOAD_COLUMN})
+        """
+    )
+    there = set(stored_partitions(spark, table))
+    drop_partitions(spark, table, sorted(there - _visible(spark, config), key=str))
+    new = new_events(spark, config)
+    if new is not None:
+        rolled = (
+            as_stored_rows(new)
+            .groupBy("user_id", "event_type", PURCHASE_HOUR, DAY_COLUMN, LOAD_COLUMN)
+            .agg(
+                F.sum(EVENTS).alias(EVENTS),
+                F.sum(DATED_EVENTS).alias(DATED_EVENTS),
+                F.sum(AMOUNT).alias(AMOUNT),
+                F.min(FIRST_AT).alias(FIRST_AT),
+                F.max(LAST_AT).alias(LAST_AT),
+            )
+        )
+        stored = rolled.select(*spark.table(table).columns)
+        stored.hint("rebalance", DAY_COLUMN, LOAD_COLUMN).write.insertInto(table, overwrite=True)
+    return current_table(spark, table)
+
+
+def new_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame | None:
+    """Events of the partitions that are not rolled up yet, with day and load; None if there are
+    none. Other partitions are not read."""
+    rolled = set()
+    if spark.catalog.tableExists(config.table(STORED_ROLLUP)):
+        rolled = set(stored_partitions(spark, config.table(STORED_ROLLUP)))
+    new = _visible(spark, config) - rolled
+    if not new:
+        return None
+    events = current_table(spark, config.table(config.events_table))
+    return events.filter(_partition_key().isin([_key(*part) for part in sorted(new, key=str)]))
+
+
+def as_stored_rows(events: DataFrame) -> DataFrame:
+    """Events in the shape of the stored rollup, one row each."""
+    hour = F.when(F.col("event_type") == PURCHASE, hour_of(F.col(FIRST_AT)))
+    placed = events.select(*EVENT_COLUMNS, DAY_COLUMN, LOAD_COLUMN)
+    return placed.select(
+        "user_id",
+        "event_type",
+        F.lit(1).cast("bigint").alias(EVENTS),
+        F.when(F.col("timestamp").isNull(), 0).otherwise(1).cast("bigint").alias(DATED_EVENTS),
+        F.col("amount").alias(AMOUNT),
+        F.col("timestamp").alias(FIRST_AT),
+        F.col("timestamp").alias(LAST_AT),
+        DAY_COLUMN,
+        LOAD_COLUMN,
+    ).withColumn(PURCHASE_HOUR, hour)
+
 
-def store_rollup(events: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
-    """Write the rollup of ``events``, one row per user and event type, and return the table.
+def current_activity(
+    spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()
+) -> DataFrame:
+    """All activity so far without writing anything: the stored rollup and the events since."""
+    new = new_events(spark, config)
+    if not spark.catalog.tableExists(config.table(STORED_ROLLUP)):
+        events = current_table(spark, config.table(config.events_table))
+        return as_activity(events.select(*EVENT_COLUMNS) if new is None else new)
+    there = set(stored_partitions(spark, config.table(STORED_ROLLUP)))
+    gone = there - _visible(spark, config)
+    stored = current_table(spark, config.table(STORED_ROLLUP))
+    if gone:
+        stored = stored.filter(~_partition_key().isin([_key(*part) for part in sorted(gone, key=str)]))
+    stored = stored.select(*ACTIVITY_COLUMNS)
+    return stored if new is None else stored.unionByName(as_activity(new).select(*ACTIVITY_COLUMNS))
 
-    The event log is read and shuffled once here. The table is bucketed by user, so each metric
-    per user that is built on it needs no shuffle of its own, and it lies in the shared folder,
-    so a lost executor costs a re-read of the rollup and not of the log. Its folder belongs
-    to the database and is overwritten by the next run.
 
-    Only the rollup is bucketed: a user who holds a large part of the log has a handful of rows
-    in it. Buckets of the log itself would put all of that user's events into one task.
+def days_between(rollup: DataFrame, since: date | None, until: date | None) -> DataFrame:
+    """The rollup's days from ``since`` up to but not at ``until``."""
+    if since is not None:
+        rollup = rollup.filter(F.col(DAY_COLUMN) >= F.lit(since))
+    if until is not None:
+        rollup = rollup.filter(F.col(DAY_COLUMN) < F.lit(until))
+    return rollup
+
+
+@contextmanager
+def run_rollup(
+    activity: DataFrame, config: AnalyticsConfig = AnalyticsConfig()
+) -> Iterator[DataFrame]:
+    """A run's own rollup, one row per user and event type, bucketed by user, dropped at the end.
+
+    Each metric per user that is built on it needs no shuffle of its own, and a lost executor costs
+    a re-read of it and not of the log. Only the rollup is bucketed: a user who holds a large part
+    of the log has a handful of rows in it. Buckets of the log itself would put all of
+    that user's events into one task. Runs at the same time have tables of their own.
     """
-    spark = events.sparkSession
-    buckets = config.rollup_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = config.table(ROLLUP_TABLE)
+    spark = activity.sparkSession
+    table = config.table(f"{ROLLUP_TABLE}_{uuid.uuid4().hex}")
+    try:
+        yield store_rollup(activity, table, config)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def store_rollup(
+    activity: DataFrame, table: str, config: AnalyticsConfig = AnalyticsConfig()
+) -> DataFrame:
+    """Write the rollup of events or activity by user into ``table`` and return it."""
+    spark = activity.sparkSession
+    buckets = config.rollup_buckets
+    if buckets is None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, -(-activity.count() // config.rollup_bucket_rows))
     (
-        user_event_rollup(events)
+        user_event_rollup(activity)
         .repartition(buckets, "user_id")
-        .write.mode("overwrite")
-        .format("parquet")
+        .write.format("parquet")
         .bucketBy(buckets, "user_id")
-        .option("path", f"{shared_folder(spark)}/{config.database}/{ROLLUP_TABLE}")
         .saveAsTable(table)
     )
     return spark.table(table)
+
+
+def _visible(spark: SparkSession, config: AnalyticsConfig) -> set[Partition]:
+    """Partitions of the events that readers see."""
+    table = config.table(config.events_table)
+    if not spark.catalog.tableExists(table):
+        return set()
+    stored = set(stored_partitions(spark, table))
+    if not spark.catalog.tableExists(config.table(FOLDED_TABLE)):
+        return stored
+    return stored - set(hidden_partitions(spark, config))
+
+
+def _partition_key() -> Column:
+    day = F.coalesce(F.col(DAY_COLUMN).cast("string"), F.lit(""))
+    return F.concat(day, F.lit("/"), F.col(LOAD_COLUMN))
+
+
+def _key(day: str | None, load: str) -> str:
+    return f"{day or ''}/{load}"

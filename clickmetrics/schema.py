@@ -27,6 +27,12 @@ CORRUPT_COLUMN = "_corrupt_record"
 DAY_COLUMN = "event_date"
 LOAD_COLUMN = "load_id"
 
+#: Table of the rollup that runs keep, partitioned like the events.
+STORED_ROLLUP = "event_rollup"
+
+#: Table property with the time zone in which the days of stored events were cut.
+DAY_ZONE_PROPERTY = "clickmetrics.day_zone"
+
 METRIC_SCHEMAS = {
     "ltv_metrics": "user_id string, total_ltv double, event_count bigint",
     "ltv_detail": (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Days and hours of events are UTC. Adaptive execution sizes the shuffle partitions, splits
 # the skewed ones and picks join strategies from measured sizes. Loads replace only the
@@ -64,8 +64,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable, in the shared folder."""
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+def in_shared_folder(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as Parquet in the shared folder: computed once, and safe from lost executors."""
+    path = new_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

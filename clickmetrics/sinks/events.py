@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections import defaultdict
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.schema import DAY_COLUMN, EVENT_COLUMNS, LOAD_COLUMN
+from clickmetrics.schema import DAY_COLUMN, DAY_ZONE_PROPERTY, EVENT_COLUMNS, LOAD_COLUMN, STORED_ROLLUP
+from clickmetrics.session import in_shared_folder
+from clickmetrics.sources.tables import (
+    FOLDED_PREFIX,
+    FOLDED_TABLE,
+    check_day_zone,
+    current_table,
+    hidden_partitions,
+    stored_partitions,
+)
 
 
 def create_events_table(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> None:
@@ -27,49 +39,130 @@ def create_events_table(spark: SparkSession, config: AnalyticsConfig = Analytics
         USING parquet
         OPTIONS (partitionOverwriteMode 'dynamic')
         PARTITIONED BY ({DAY_COLUMN}, {LOAD_COLUMN})
+        TBLPROPERTIES ('{DAY_ZONE_PROPERTY}' '{spark.conf.get("spark.sql.session.timeZone")}')
         """
     )
 
 
+class ClosedLoadError(ValueError):
+    """The load was folded together with others by a compaction and cannot be replaced any more."""
+
+
 def load_events(
     events: DataFrame, load_id: str, config: AnalyticsConfig = AnalyticsConfig()
 ) -> None:
     """Add one load of events to the table, creating the table if needed.
 
     Loading again under the same ``load_id`` replaces what that load wrote before, so a retry
-    does not duplicate; other loads are never touched.
+    does not duplicate; other loads are never touched. The new rows are written before
+    anything is dropped: a load that fails leaves the table as it was, and ``events`` may be read
+    from the table itself. One that fails between writing and dropping leaves days of the earlier
+    attempt behind that the new one does not have; the next try removes them.
 
     Rows are gathered by day before the write, to keep files few. The rebalance hint lets
     adaptive execution split a day that is much larger than others and merge small ones.
     Within a file rows are sorted by event type, so that a filter on the type skips row groups.
     """
+    if not re.fullmatch(r"[\w.-]+", load_id):
+        raise ValueError(f"a load id is made of letters, digits, '_', '.' and '-': {load_id!r}")
     spark = events.sparkSession
     table = config.table(config.events_table)
     create_events_table(spark, config)
-    _drop_load(spark, table, load_id)
-    placed = (
-        events.select(
-            *EVENT_COLUMNS,
-            F.to_date("timestamp").alias(DAY_COLUMN),
-            F.lit(load_id).alias(LOAD_COLUMN),
-        )
-        .hint("rebalance", DAY_COLUMN)
-        .sortWithinPartitions(DAY_COLUMN, LOAD_COLUMN, "event_type")
+    check_day_zone(spark, table)
+    if is_folded(spark, load_id, config):
+        raise ClosedLoadError(f"load {load_id} was compacted with others")
+    earlier = stored_partitions(spark, table, load_id)
+    placed = events.select(
+        *EVENT_COLUMNS,
+        F.to_date("timestamp").alias(DAY_COLUMN),
+        F.lit(load_id).alias(LOAD_COLUMN),
     )
-    placed.write.insertInto(table, overwrite=True)
+    if earlier:
+        # The days of the new attempt are read from what will be stored, computed once.
+        placed = in_shared_folder(placed, "reload")
+        days = {row[0] for row in placed.select(F.col(DAY_COLUMN).cast("string")).distinct().collect()}
+    forget_rollup(spark, load_id, config)
+    _by_day(placed).write.insertInto(table, overwrite=True)
+    if earlier:
+        drop_partitions(spark, table, [part for part in earlier if part[0] not in days])
+    forget_rollup(spark, load_id, config)
 
 
-def _drop_load(spark: SparkSession, table: str, load_id: str) -> None:
-    """Drop what an earlier attempt of a load wrote; its partitions are one per day."""
-    if not re.fullmatch(r"[\w.-]+", load_id):
-        raise ValueError(f"a load id is made of letters, digits, '_', '.' and '-': {load_id!r}")
-    load = f"{LOAD_COLUMN} = '{load_id}'"
-    written = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({load})").collect()
-    if written:
-        days = [row.partition.split("/")[0].split("=")[1] for row in written]
-        specs = ", ".join(f"PARTITION ({DAY_COLUMN} = {_day_literal(day)}, {load})" for day in days)
+def _by_day(placed: DataFrame) -> DataFrame:
+    return placed.hint("rebalance", DAY_COLUMN).sortWithinPartitions(
+        DAY_COLUMN, LOAD_COLUMN, "event_type"
+    )
+
+
+def drop_partitions(
+    spark: SparkSession, table: str, partitions: list[tuple[str | None, str]]
+) -> None:
+    """Drop partitions given as (day, load)."""
+    if partitions:
+        specs = ", ".join(
+            f"PARTITION ({DAY_COLUMN} = {_day_literal(day)}, {LOAD_COLUMN} = '{load}')"
+            for day, load in partitions
+        )
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
-def _day_literal(day: str) -> str:
-    return "null" if day == "__HIVE_DEFAULT_PARTITION__" else f"'{day}'"
+def _day_literal(day: str | None) -> str:
+    return "null" if day is None else f"'{day}'"
+
+
+def is_folded(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> bool:
+    folded = config.table(FOLDED_TABLE)
+    return spark.catalog.tableExists(folded) and not current_table(spark, folded).filter(
+        F.col("load") == load_id
+    ).isEmpty()
+
+
+def forget_rollup(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> None:
+    """Drop what is rolled up of a load, so that the next run reads the load anew."""
+    rollup = config.table(STORED_ROLLUP)
+    if spark.catalog.tableExists(rollup):
+        drop_partitions(spark, rollup, stored_partitions(spark, rollup, load_id))
+
+
+def compact_events(
+    spark: SparkSession, before: date, config: AnalyticsConfig = AnalyticsConfig()
+) -> int:
+    """Fold the loads of each day before ``before`` into one partition per day; returns the days.
+
+    Streams add a partition per batch and day; folding closed days bounds how many there are. The
+    folded rows are written to a partition that readers do not see, then announced together with
+    the loads they came from in one append, which is the moment readers change over; only then the
+    old partitions are dropped. A compaction that breaks off loses and doubles nothing, and the
+    next one cleans up. Loads that were folded are closed: a stream batch that is replayed
+    counts as stored, any other load under such an id is refused. Do not load into the days
+    while they are folded.
+    """
+    table, folded_table = config.table(config.events_table), config.table(FOLDED_TABLE)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {folded_table} (day DATE, load STRING, into STRING) USING parquet"
+    )
+    drop_partitions(spark, table, hidden_partitions(spark, config))
+    loads_of = defaultdict(list)
+    for day, load in stored_partitions(spark, table):
+        if day is not None and day < before.isoformat():
+            loads_of[day].append(load)
+    many = {day: loads for day, loads in loads_of.items() if len(loads) > 1}
+    if not many:
+        return 0
+    into = f"{FOLDED_PREFIX}{uuid.uuid4().hex}"
+    rows = (
+        current_table(spark, table)
+        .filter(F.col(DAY_COLUMN).isin([date.fromisoformat(day) for day in many]))
+        .select(*EVENT_COLUMNS, DAY_COLUMN, F.lit(into).alias(LOAD_COLUMN))
+    )
+    _by_day(rows).write.insertInto(table, overwrite=True)
+    announced = [(date.fromisoformat(day), load, into) for day, loads in many.items() for load in loads]
+    spark.createDataFrame(announced, "day date, load string, into string").coalesce(1).write.insertInto(
+        folded_table
+    )
+    old = [(day, load) for day, loads in many.items() for load in loads]
+    drop_partitions(spark, table, old)
+    rollup = config.table(STORED_ROLLUP)
+    if spark.catalog.tableExists(rollup):
+        drop_partitions(spark, rollup, old)
+    return len(many)

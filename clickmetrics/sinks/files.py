@@ -2,26 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmetrics.config import TIMESTAMP_FORMAT
+from clickmetrics.functions import time_text
 from clickmetrics.schema import EVENT_COLUMNS
 from clickmetrics.sources.messages import encode_messages
 
+# Text comes back as it was: quotes doubled, blanks kept, an empty text told from a null.
+WRITE_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
-def append_csv(events: DataFrame, path: str) -> None:
+
+def append_csv(events: DataFrame, path: str, timestamp_format: str | None = None) -> None:
     """Add events to a CSV staging folder, every file with a header.
 
-    A frame without an ``amount`` column is written with amount 0.0; a null amount stays null.
+    A frame without an ``amount`` column is written with amount 0.0; a null amount stays null. Times
+    keep their fractions of a second unless a format says otherwise. A line break in a
+    text fails the write: staging files are split by lines when they are read.
     """
     if "amount" not in events.columns:
         events = events.withColumn("amount", F.lit(0.0))
-    events.select(*EVENT_COLUMNS).write.mode("append").options(
-        header=True, timestampFormat=TIMESTAMP_FORMAT
-    ).csv(path)
+    events.select(
+        _one_line("user_id"),
+        _one_line("event_type"),
+        "amount",
+        time_text(F.col("timestamp"), timestamp_format).alias("timestamp"),
+    ).select(*EVENT_COLUMNS).write.mode("append").options(**WRITE_OPTIONS).csv(path)
 
 
-def append_messages(events: DataFrame, path: str) -> None:
+def append_messages(events: DataFrame, path: str, timestamp_format: str | None = None) -> None:
     """Add events to a landing folder as JSON lines, one message per line."""
-    encode_messages(events).write.mode("append").text(path)
+    encode_messages(events, timestamp_format=timestamp_format).write.mode("append").text(path)
+
+
+def _one_line(name: str) -> Column:
+    value = F.col(name)
+    broken = F.raise_error(F.concat(F.lit(f"line break in {name}: "), value)).cast("string")
+    return F.when(value.rlike(r"[\r\n]"), broken).otherwise(value).alias(name)

@@ -1,16 +1,19 @@
-"""Metric tables, replaced as a whole on every run."""
+"""Metrics, replaced as a whole on every run."""
 
 from __future__ import annotations
 
 import logging
+import time
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics.config import AnalyticsConfig
 
 log = logging.getLogger(__name__)
 
+VERSION_MARK = "__v"
+
 
 def save_metric(
     metric: DataFrame,
@@ -18,19 +21,36 @@ def save_metric(
     config: AnalyticsConfig = AnalyticsConfig(),
     on_empty: Literal["keep", "replace"] = "keep",
 ) -> bool:
-    """Replace table ``name``, rows and schema, with ``metric``; tell whether it was replaced.
+    """Replace metric ``name``, rows and schema, with ``metric``; tell whether it was replaced.
 
-    The metric is computed once, into a table of its own, which then takes the old one's
-    place. Until then the old table stays whole, also if the computation fails. With ``keep``
-    an empty result leaves it as it is.
+    The metric is computed once, into a table of its own, and ``name`` is a view that then turns to
+    it in one step. A reader sees the old or the new rows at any time, and the old ones stay if the
+    computation or the process fails. With ``keep`` an empty result leaves them as well. The
+    version before the last is dropped, so that whoever still reads the last one can finish.
     """
     spark = metric.sparkSession
-    target, staged = config.table(name), config.table(f"{name}_staged")
-    metric.write.mode("overwrite").format("parquet").saveAsTable(staged)
-    if on_empty == "keep" and spark.table(staged).isEmpty():
-        log.warning("no rows for %s, table left as it was", target)
-        spark.sql(f"DROP TABLE {staged}")
+    target = config.table(name)
+    version = f"{name}{VERSION_MARK}{time.time_ns():020d}"
+    metric.write.format("parquet").saveAsTable(config.table(version))
+    if on_empty == "keep" and spark.table(config.table(version)).isEmpty():
+        log.warning("no rows for %s, left as it was", target)
+        spark.sql(f"DROP TABLE {config.table(version)}")
         return False
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    if _is_plain_table(spark, config, name):
+        # As stored before metrics had versions.
+        spark.sql(f"ALTER TABLE {target} RENAME TO {config.table(f'{name}{VERSION_MARK}{0:020d}')}")
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {config.table(version)}")
+    for old in _versions(spark, config, name)[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {config.table(old)}")
     return True
+
+
+def _versions(spark: SparkSession, config: AnalyticsConfig, name: str) -> list[str]:
+    """Tables that hold versions of a metric, the oldest first."""
+    rows = spark.sql(f"SHOW TABLES IN {config.database} LIKE '{name}{VERSION_MARK}*'").collect()
+    return sorted(row.tableName for row in rows)
+
+
+def _is_plain_table(spark: SparkSession, config: AnalyticsConfig, name: str) -> bool:
+    target = config.table(name)
+    return spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType != "VIEW"

@@ -15,6 +15,18 @@ ReadMode = Literal["strict", "tolerant"]
 TOLERANT_SCHEMA = T.StructType([*EVENT_SCHEMA, T.StructField(CORRUPT_COLUMN, T.StringType())])
 
 
+# Quotes inside quoted text are doubled, blanks belong to the text, and a quoted empty text is no
+# null: a field without anything reads as the null mark, which no text is taken to hold.
+CSV_OPTIONS = {
+    "nullValue": "\ue000null\ue000",
+    "header": True,
+    "enforceSchema": False,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def read_options(mode: ReadMode) -> dict[str, str]:
     if mode == "strict":
         return {"mode": "FAILFAST", "timestampFormat": TIMESTAMP_FORMAT}
@@ -39,7 +51,7 @@ def csv_events(spark: SparkSession, path: str, mode: ReadMode = "strict") -> Dat
     """
     return (
         spark.read.schema(read_schema(mode))
-        .options(header=True, enforceSchema=False, **read_options(mode))
+        .options(**CSV_OPTIONS, **read_options(mode))
         .csv(path)
     )
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmetrics.config import TIMESTAMP_FORMAT
+from clickmetrics.functions import time_text
 from clickmetrics.schema import CORRUPT_COLUMN, EVENT_COLUMNS, REQUIRED_COLUMNS
 from clickmetrics.sources.files import TOLERANT_SCHEMA, read_options
 
@@ -15,13 +15,16 @@ VALUE = "value"
 REASON = "reason"
 
 
-def encode_messages(events: DataFrame, binary: bool = False) -> DataFrame:
+def encode_messages(
+    events: DataFrame, binary: bool = False, timestamp_format: str | None = None
+) -> DataFrame:
     """One JSON object per event in column ``value``; nulls are written out.
 
-    ``binary`` gives UTF-8 bytes, as message brokers carry them.
+    ``binary`` gives UTF-8 bytes, as message brokers carry them. Times keep their fractions of a
+    second unless a format says otherwise.
     """
-    options = {"timestampFormat": TIMESTAMP_FORMAT, "ignoreNullFields": "false"}
-    message = F.to_json(F.struct(*EVENT_COLUMNS), options)
+    events = events.withColumn("timestamp", time_text(F.col("timestamp"), timestamp_format))
+    message = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"})
     return events.select((F.encode(message, "UTF-8") if binary else message).alias(VALUE))
 
 

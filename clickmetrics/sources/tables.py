@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.schema import DAY_COLUMN, EVENT_COLUMNS
+from clickmetrics.schema import DAY_COLUMN, DAY_ZONE_PROPERTY, EVENT_COLUMNS, LOAD_COLUMN
+
+#: Loads that a compaction has folded together: day, load, and the load that holds their rows now.
+FOLDED_TABLE = "folded_loads"
 
 
 def use_events(events: DataFrame, name: str = "events") -> DataFrame:
@@ -26,31 +30,52 @@ def events_between(
 ) -> DataFrame:
     """Events from ``since`` up to but not at ``until``.
 
-    The bound is compared in the type of the stored column, so that the scan can use it, and
-    on the partition day as well where there is one, so that other days are not read.
+    A bound without a zone is in the session's time zone, as the stored days are; one with a zone
+    is converted to it. The bound is compared in the type of the stored column, so that the
+    scan can use it, and on the partition day as well where there is one, so that other
+    days are not read.
     """
     has_day = DAY_COLUMN in events.columns
     stored = events.schema[timestamp].dataType
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
     moment = F.col(timestamp)
     if since is not None:
-        events = events.filter(moment >= F.lit(since).cast(stored))
+        since = _in_zone(since, zone)
+        events = events.filter(moment >= _text(since).cast(stored))
         if has_day:
             events = events.filter(F.col(DAY_COLUMN) >= F.lit(since.date()))
     if until is not None:
-        events = events.filter(moment < F.lit(until).cast(stored))
+        until = _in_zone(until, zone)
+        events = events.filter(moment < _text(until).cast(stored))
         if has_day:
             events = events.filter(F.col(DAY_COLUMN) <= F.lit(_last_day_before(until)))
     return events
 
 
+def _in_zone(moment: datetime, zone: str) -> datetime:
+    """Wall-clock time in the session's zone."""
+    return moment if moment.tzinfo is None else moment.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+
+
+def _text(moment: datetime) -> Column:
+    """As text, which Spark reads in the session's zone, whatever that of the machine."""
+    return F.lit(moment.isoformat(sep=" "))
+
+
 def events_table(
     spark: SparkSession,
     config: AnalyticsConfig = AnalyticsConfig(),
     since: datetime | None = None,
     until: datetime | None = None,
 ) -> DataFrame:
-    """The stored events, all of them or those of a time range."""
-    stored = current_table(spark, config.table(config.events_table))
+    """The stored events, all of them or those of a time range.
+
+    A time range needs the session's zone to be the one that the table's days were cut in.
+    """
+    name = config.table(config.events_table)
+    if since is not None or until is not None:
+        check_day_zone(spark, name)
+    stored = visible_partitions(current_table(spark, name), config)
     return events_between(stored, since, until).select(*EVENT_COLUMNS)
 
 
@@ -60,6 +85,60 @@ def current_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def check_day_zone(spark: SparkSession, table: str) -> None:
+    """Fail if the table's days were cut in another time zone than the session's."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    stored = {row["key"]: row["value"] for row in rows}.get(DAY_ZONE_PROPERTY)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if stored is not None and stored != zone:
+        raise ValueError(f"the days of {table} are those of {stored}, the session is in {zone}")
+
+
+def visible_partitions(stored: DataFrame, config: AnalyticsConfig) -> DataFrame:
+    """Leave out partitions that a compaction has folded into another one and not dropped yet, and
+    those that one has written and not announced. There are none but during a compaction or
+    after one that broke off, so what is compared is few rows."""
+    spark = stored.sparkSession
+    folded_table = config.table(FOLDED_TABLE)
+    if not spark.catalog.tableExists(folded_table):
+        return stored
+    hidden = hidden_partitions(spark, config)
+    for day, load in hidden:
+        here = F.col(DAY_COLUMN).eqNullSafe(F.lit(day).cast("date")) & (F.col(LOAD_COLUMN) == load)
+        stored = stored.filter(~here)
+    return stored
+
+
+def hidden_partitions(
+    spark: SparkSession, config: AnalyticsConfig
+) -> list[tuple[str | None, str]]:
+    """(day, load) of the stored partitions that readers must not see."""
+    written = {(day, load) for day, load in stored_partitions(spark, config.table(config.events_table))}
+    folded = current_table(spark, config.table(FOLDED_TABLE))
+    rows = folded.select(F.col("day").cast("string"), "load", "into").collect()
+    announced = {(row.day, row.into) for row in rows}
+    gone = {(row.day, row.load) for row in rows}
+    unannounced = {
+        (day, load) for day, load in written if load.startswith(FOLDED_PREFIX) and (day, load) not in announced
+    }
+    return sorted((written & gone) | unannounced, key=str)
+
+
+#: How loads are named that a compaction writes.
+FOLDED_PREFIX = "folded."
+
+
+def stored_partitions(spark: SparkSession, table: str, load: str | None = None) -> list[tuple[str | None, str]]:
+    """(day, load) of a table's partitions; the day is null for events without a time."""
+    only = "" if load is None else f" PARTITION ({LOAD_COLUMN} = '{load}')"
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}{only}").collect():
+        values = dict(part.split("=", 1) for part in row.partition.split("/"))
+        day = values[DAY_COLUMN]
+        found.append((None if day == "__HIVE_DEFAULT_PARTITION__" else day, values[LOAD_COLUMN]))
+    return found
+
+
 def metric_table(
     spark: SparkSession,
     name: str,

@@ -7,29 +7,46 @@ partitions, so every message is stored once.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.schema import LOAD_COLUMN
-from clickmetrics.sinks.events import load_events
+from clickmetrics.sinks.events import ClosedLoadError, load_events
 from clickmetrics.sources.messages import parse_messages, split_parsed
 from clickmetrics.sources.tables import current_table
 
+log = logging.getLogger(__name__)
+
 QUARANTINE_TABLE = "events_quarantine"
 
 
+#: How far behind the newest file a file may be dated and still be read. Spark's own default of a
+#: week silently skips late and restored files; a century reads them all.
+MAX_FILE_AGE = "36500d"
+
+
 def file_messages(
-    spark: SparkSession, path: str, max_files_per_batch: int = 1000
+    spark: SparkSession, path: str, max_files_per_batch: int = 1000, archive: str | None = None
 ) -> DataFrame:
     """Stream of messages landing in a folder, one per line.
 
-    A backlog is worked off in several batches, each of a size the cluster can hold.
+    A backlog is worked off in several batches, each of a size the cluster can hold. Files of any
+    date are read. The checkpoint lists the files that are done, on the driver too; ``archive``
+    names a folder, outside of ``path``, that Spark moves them to, which keeps the landing
+    folder short to list.
     """
-    return (
-        spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch).load(path)
+    reader = spark.readStream.format("text").options(
+        maxFilesPerTrigger=max_files_per_batch, maxFileAge=MAX_FILE_AGE
     )
+    if archive is not None:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    return reader.load(path)
 
 
 def kafka_messages(spark: SparkSession, **options: str) -> DataFrame:
@@ -48,23 +65,56 @@ def ingest_messages(
 
     Good events go to the events table. Text that is not an event goes to a quarantine table
     with the reason, and does not hold up its batch. ``available_now`` stores what is there
-    and stops, otherwise a batch runs every flush interval. ``stream_name`` names the loads
-    and must differ between streams.
+    and stops, otherwise a batch runs every flush interval. Loads are named by ``stream_name``,
+    by the id that the checkpoint keeps, and by batch, so a stream with another checkpoint never
+    takes the place of this one's loads.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{stream_name}-{batch_id:012d}"
+    def store(batch: DataFrame, load_id: str) -> None:
         parsed = parse_messages(batch).persist()
         try:
             good, bad = split_parsed(parsed)
-            load_events(good, load_id, config)
+            load_batch(good, load_id, config)
             _set_aside(bad, load_id, config)
         finally:
             parsed.unpersist()
 
-    return _trigger(messages.writeStream.foreachBatch(store), config, available_now).option(
-        "checkpointLocation", checkpoint
-    ).queryName(stream_name).start()
+    def trigger(writer: DataStreamWriter) -> DataStreamWriter:
+        return _trigger(writer, config, available_now)
+
+    return start_loading(messages, stream_name, checkpoint, store, trigger)
+
+
+def start_loading(
+    stream: DataFrame,
+    stream_name: str,
+    checkpoint: str,
+    store: Callable[[DataFrame, str], None],
+    trigger: Callable[[DataStreamWriter], DataStreamWriter],
+) -> StreamingQuery:
+    """Start a query that stores each batch under a load id of its own."""
+    identity: Future[str] = Future()
+
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
+        store(batch, f"{stream_name}-{identity.result()}-{batch_id:012d}")
+
+    query = (
+        trigger(stream.writeStream.foreachBatch(store_batch))
+        .option("checkpointLocation", checkpoint)
+        .queryName(stream_name)
+        .start()
+    )
+    # The same for every run with this checkpoint; the first batch waits for it.
+    identity.set_result(str(query.id).replace("-", ""))
+    return query
+
+
+def load_batch(events: DataFrame, load_id: str, config: AnalyticsConfig) -> None:
+    """Store a batch. One that was compacted since is stored already, and is replayed only."""
+    try:
+        load_events(events, load_id, config)
+    except ClosedLoadError:
+        log.info("load %s is stored and compacted", load_id)
 
 
 def quarantined(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:

@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.schema import EVENT_SCHEMA
-from clickmetrics.sinks.events import load_events
-from clickmetrics.sources.files import read_options
+from clickmetrics.sources.files import CSV_OPTIONS, read_options
+from clickmetrics.streaming.ingest import MAX_FILE_AGE, load_batch, start_loading
 
 
 def load_staged_csv(
     spark: SparkSession,
     path: str,
     checkpoint: str,
-    load_name: str = "staged",
+    load_name: str,
     config: AnalyticsConfig = AnalyticsConfig(),
     after_load: Literal["keep", "archive", "delete"] = "keep",
     archive: str | None = None,
@@ -30,9 +30,9 @@ def load_staged_csv(
     the run, and the files are tried again on the next one.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA).options(
-        header=True,
-        enforceSchema=False,
         maxFilesPerTrigger=max_files_per_batch,
+        maxFileAge=MAX_FILE_AGE,
+        **CSV_OPTIONS,
         **read_options("strict"),
     )
     if after_load == "archive":
@@ -42,15 +42,10 @@ def load_staged_csv(
     elif after_load == "delete":
         reader = reader.option("cleanSource", "delete")
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        load_events(batch, f"{load_name}-{batch_id:012d}", config)
-
-    query = (
-        reader.csv(path)
-        .writeStream.foreachBatch(store)
-        .trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .queryName(load_name)
-        .start()
-    )
-    query.awaitTermination()
+    start_loading(
+        reader.csv(path),
+        load_name,
+        checkpoint,
+        lambda batch, load_id: load_batch(batch, load_id, config),
+        lambda writer: writer.trigger(availableNow=True),
+    ).awaitTermination()

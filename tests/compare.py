@@ -28,6 +28,7 @@ SAME_TYPE = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "timestamp": "TIMESTAMP",
     "date": "DATE",
 }

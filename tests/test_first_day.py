@@ -10,7 +10,7 @@ from datetime import datetime
 
 import pytest
 
-from __spark_entry__ import GIVEN_EVENTS, oracle_sql
+from __spark_entry__ import GIVEN_EVENTS, REPORT, oracle_sql
 from clickmetrics import operators as op
 from clickmetrics.sources import events_between, map_events
 from compare import assert_same, duckdb_over
@@ -18,8 +18,8 @@ from compare import assert_same, duckdb_over
 DAY_END = datetime(2024, 1, 2)
 
 METRICS = {
-    "ltv_basic": op.ltv_basic,
-    "ltv_detail": op.ltv_detail,
+    "ltv_basic": lambda e: op.ltv_basic(e, REPORT),
+    "ltv_detail": lambda e: op.ltv_detail(e, REPORT),
     "user_engagement": op.user_engagement,
     "retention_summary": op.retention_summary,
     "user_daily_activity": op.user_daily_activity,
@@ -28,13 +28,13 @@ METRICS = {
     "funnel_fixed": op.funnel_fixed,
     "funnel_users": op.funnel_users,
     "funnel_volume": op.funnel_volume,
-    "revenue_hourly": op.revenue_hourly,
+    "revenue_hourly": lambda e: op.revenue_hourly(e, REPORT),
     "churn_risk": op.churn_risk,
     "churn_summary": lambda e: op.churn_summary(op.churn_risk(e)),
     "conversion_rate": lambda e: op.conversion_rate(op.funnel_users(e)),
-    "segment_features": op.segment_features,
-    "kpi_global": op.kpi_global,
-    "top_customers": lambda e: op.top_customers(op.ltv_basic(e)),
+    "segment_features": lambda e: op.segment_features(e, REPORT),
+    "kpi_global": lambda e: op.kpi_global(e, REPORT),
+    "top_customers": lambda e: op.top_customers(op.ltv_basic(e, REPORT)),
 }
 
 

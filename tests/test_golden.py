@@ -222,10 +222,11 @@ def test_purchase_without_amount(spark):
 def test_money_digits(spark):
     rows = [("u1", "purchase", 0.1, at("01-01 10:00"))] * 3
     events = events_of(spark, rows)
-    assert values(op.ltv_basic(events)) == [("u1", 0.3, 3)]
-    assert values(op.ltv_basic(events, AnalyticsConfig(money_digits=None))) == [("u1", 0.1 * 3, 3)]
+    rounded = AnalyticsConfig(money_digits=2)
+    assert values(op.ltv_basic(events, rounded)) == [("u1", 0.3, 3)]
+    assert values(op.ltv_basic(events)) == [("u1", 0.1 * 3, 3)]
     tiny = events_of(spark, [("u1", "purchase", 0.001, at("01-01 10:00"))])
-    assert values(op.ltv_basic(tiny)) == [("u1", 0.0, 1)]
+    assert values(op.ltv_basic(tiny, rounded)) == [("u1", 0.0, 1)]
 
 
 def test_unknown_names_fail(events):

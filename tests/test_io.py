@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+import threading
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, Phase, example, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
 from clickmetrics.schema import EVENT_SCHEMA, EventSchemaError, require_event_columns
-from clickmetrics.sinks import append_csv, append_messages, load_events, save_metric
+from clickmetrics.sinks import (
+    ClosedLoadError,
+    append_csv,
+    append_messages,
+    compact_events,
+    load_events,
+    save_metric,
+)
+from clickmetrics.sinks import events as event_sink
 from clickmetrics.sources import (
     EventMapping,
     csv_events,
@@ -25,6 +40,8 @@ from clickmetrics.sources import (
     split_parsed,
     use_events,
 )
+from clickmetrics.sources.tables import stored_partitions
+from conftest import ROOT
 from fixtures import EDGE_EVENTS, at, events_of, value_set, values
 
 HEADER = "user_id,event_type,amount,timestamp\n"
@@ -57,6 +74,50 @@ def test_csv_round_trip(spark, events, tmp_path):
     assert sorted(map(str, values(read))) == sorted(map(str, EDGE_EVENTS * 2))
 
 
+TEXT = st.text(
+    st.characters(blacklist_categories=["Cs"], blacklist_characters="\r\n\x00"), max_size=12
+)
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    phases=[Phase.explicit, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@example([('', '"'), (' a"', '\\'), ('a,b', '\t')])
+@given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=8))
+def test_any_text_survives_csv_and_messages(spark, tmp_path_factory, pairs):
+    moment = datetime(2024, 1, 2, 3, 4, 5, 600_007)
+    rows = [(user, kind, 0.1, moment) for user, kind in pairs]
+    folder = tmp_path_factory.mktemp("text")
+    frame = events_of(spark, rows).coalesce(1)
+    append_csv(frame, str(folder / "csv"))
+    append_messages(frame, str(folder / "json"))
+    for read in (csv_events(spark, str(folder / "csv")), json_events(spark, str(folder / "json"))):
+        assert sorted(values(read)) == sorted(rows)
+
+
+def test_quotes_as_other_writers_make_them(spark, tmp_path):
+    write(tmp_path / "in", HEADER + '"a ""b"" c"," x ",0.0,2024-01-01 10:00:00\n')
+    assert value_set(csv_events(spark, str(tmp_path / "in"))) == {
+        ('a "b" c', " x ", 0.0, at("01-01 10:00"))
+    }
+
+
+def test_a_line_break_fails_the_csv_write(spark, tmp_path):
+    broken = events_of(spark, [("a\nb", "login", 0.0, at("01-01 10:00"))])
+    with pytest.raises(Exception, match="line break in user_id"):
+        append_csv(broken, str(tmp_path / "out"))
+
+
+def test_a_time_format_can_be_chosen(spark, tmp_path):
+    rows = [("u", "login", 0.0, datetime(2024, 1, 1, 10, 0, 0, 123_000))]
+    assert '"timestamp":"2024-01-01 10:00:00.123"' in encode_messages(events_of(spark, rows)).first()[0]
+    append_csv(events_of(spark, rows), str(tmp_path / "s"), "yyyy-MM-dd HH:mm:ss")
+    assert value_set(csv_events(spark, str(tmp_path / "s"))) == {(*rows[0][:3], at("01-01 10:00"))}
+
+
 def test_csv_amount_absent_reads_zero_and_null_stays_null(spark, events, tmp_path):
     append_csv(events.drop("amount"), str(tmp_path / "absent"))
     assert {row[2] for row in values(csv_events(spark, str(tmp_path / "absent")))} == {0.0}
@@ -207,6 +268,102 @@ def test_time_range_reads_only_its_days(spark, events, config):
     assert value_set(part) == {row for row in EDGE_EVENTS if row[3] < datetime(2024, 1, 2, 0, 45)}
 
 
+ON_JAN_2 = """
+import sys
+from datetime import datetime, timedelta, timezone
+from clickmetrics import AnalyticsConfig, build_session
+from clickmetrics.sinks import load_events
+from clickmetrics.sources import events_table
+spark = build_session("zone", "local[1]", spark__ui__enabled="false",
+    spark__sql__warehouse__dir=sys.argv[1] + "/w", spark__checkpoint__dir=sys.argv[1] + "/c")
+rows = spark.sql("SELECT 'u' AS user_id, 'login' AS event_type, 0.0D AS amount, "
+                 "TIMESTAMP '2024-01-02 03:00:00' AS timestamp UNION ALL "
+                 "SELECT 'v', 'login', 0.0D, TIMESTAMP '2024-01-01 23:30:00'")
+load_events(rows, "a", AnalyticsConfig())
+naive = datetime(2024, 1, 2)
+aware = datetime(2024, 1, 2, 1, tzinfo=timezone(timedelta(hours=1)))
+print("FOUND", [events_table(spark, since=at).count() for at in (naive, aware)],
+      events_table(spark, until=naive).count())
+"""
+
+
+def test_time_ranges_do_not_depend_on_the_zone_of_the_machine(tmp_path):
+    environment = os.environ | {"TZ": "America/New_York", "PYTHONPATH": str(ROOT)}
+    done = subprocess.run(
+        [sys.executable, "-c", ON_JAN_2, str(tmp_path)],
+        env=environment, cwd=tmp_path, capture_output=True, text=True, timeout=300,
+    )
+    assert "FOUND [1, 1] 1" in done.stdout, done.stderr[-2000:]
+
+
+def test_days_of_another_zone_are_refused(spark, events, config):
+    load_events(events, "all", config)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            events_table(spark, config, since=datetime(2024, 1, 2))
+        with pytest.raises(ValueError, match="UTC"):
+            load_events(events, "more", config)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_failing_reload_keeps_every_row(spark, events, config):
+    load_events(events, "a", config)
+    failing = events.withColumn(
+        "amount", F.when(F.col("user_id") == "u5", F.raise_error(F.lit("input lost")).cast("double"))
+    )
+    with pytest.raises(Exception, match="input lost"):
+        load_events(failing, "a", config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+
+
+def test_a_load_can_be_corrected_from_the_table_itself(spark, events, config):
+    load_events(events, "a", config)
+    load_events(events_table(spark, config), "a", config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    load_events(events_table(spark, config).filter("user_id = 'u1'"), "a", config)
+    assert {row[0] for row in values(events_table(spark, config))} == {"u1"}
+
+
+def test_compaction_leaves_one_partition_per_closed_day(spark, events, config):
+    for user in ("u1", "u2", "u3", "u4", "u5"):
+        load_events(events.filter(F.col("user_id") == user), f"load-{user}", config)
+    assert compact_events(spark, date(2024, 1, 3), config) == 2
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    days = [day for day, _ in stored_partitions(spark, config.table("events"))]
+    assert days.count("2024-01-01") == days.count("2024-01-02") == 1
+    assert days.count("2024-01-03") == 2
+    # What is folded cannot be loaded again, what is not can.
+    with pytest.raises(ClosedLoadError):
+        load_events(events.filter("user_id = 'u2'"), "load-u2", config)
+    load_events(events.filter("user_id = 'u5'"), "load-u5", config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    assert compact_events(spark, date(2024, 1, 3), config) == 0
+
+
+@pytest.mark.parametrize("broken", ["createDataFrame", "drop_partitions"])
+def test_a_compaction_that_breaks_off_doubles_and_loses_nothing(
+    spark, events, config, monkeypatch, broken
+):
+    for user in ("u1", "u2", "u3", "u4", "u5"):
+        load_events(events.filter(F.col("user_id") == user), f"load-{user}", config)
+
+    def fail(*arguments, **more):
+        if broken == "createDataFrame" or arguments[2]:
+            raise RuntimeError("lost")
+
+    place = type(spark) if broken == "createDataFrame" else event_sink
+    with monkeypatch.context() as patch:
+        patch.setattr(place, broken, fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            compact_events(spark, date(2024, 1, 4), config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    compact_events(spark, date(2024, 1, 4), config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    assert len(stored_partitions(spark, config.table("events"))) == 3
+
+
 def test_mapped_types_filter_in_the_scan(spark, sf_dir):
     mapping = EventMapping(timestamp="ts", amount="value", type_names={"signup": "login"})
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -221,9 +378,9 @@ def test_mapped_types_filter_in_the_scan(spark, sf_dir):
 def test_sql_text_over_events(spark, events):
     use_events(events, "log_of_events")
     sql = """
-        SELECT user_id, SUM(amount) AS total_ltv, COUNT(user_id) AS event_count
-        FROM log_of_events GROUP BY user_id HAVING total_ltv > 0 ORDER BY total_ltv DESC"""
-    assert values(spark.sql(sql)) == values(op.ltv_basic(events))
+        SELECT event_type AS stage, count(DISTINCT user_id) AS user_count
+        FROM log_of_events GROUP BY event_type HAVING user_count > 0"""
+    assert value_set(spark.sql(sql)) == value_set(op.funnel_users(events))
 
 
 def test_metric_is_replaced_with_its_schema(spark, events, config):
@@ -247,6 +404,34 @@ def test_metric_can_be_computed_from_the_table_it_replaces(spark, events, config
     assert spark.table(config.table("m")).count() == 1
 
 
+def test_a_reader_sees_the_old_or_the_new_metric(spark, config):
+    name = config.table("m")
+    save_metric(spark.range(5), "m", config)
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.table(name).count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for size in (6, 7, 8):
+            save_metric(spark.range(size), "m", config)
+    finally:
+        stop.set()
+        reader.join()
+    assert seen and set(seen) <= {5, 6, 7, 8}
+    versions = [t.name for t in spark.catalog.listTables(config.database) if "__v" in t.name]
+    assert len(versions) == 2
+
+
+def test_a_plain_table_becomes_a_metric(spark, config):
+    spark.range(3).write.saveAsTable(config.table("m"))
+    assert save_metric(spark.range(4), "m", config)
+    assert spark.table(config.table("m")).count() == 4
+
+
 def test_metric_never_built_reads_as_default(spark, config):
     schema = "total_users bigint, retention_rate double"
     name = config.table("never_built")

@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
+from clickmetrics.__main__ import run
 from clickmetrics.operators.segments import SegmentModel
 from clickmetrics.plans import (
+    DashboardPartError,
+    current_activity,
     dashboard_records,
+    refresh_rollup,
     run_local_profile,
+    run_metrics,
+    run_rollup,
     run_warehouse_profile,
-    store_rollup,
     verify_events,
 )
+from clickmetrics.plans.rollup import new_events
 from clickmetrics.schema import METRIC_SCHEMAS, EventSchemaError
-from clickmetrics.sinks import create_events_table, load_events, save_metric
+from clickmetrics.sinks import (
+    append_csv,
+    append_messages,
+    compact_events,
+    create_events_table,
+    load_events,
+    save_metric,
+)
 from clickmetrics.sources import events_table
 from fixtures import EDGE_EVENTS, events_of, value_set, values
 
@@ -40,18 +56,99 @@ def exchanges(frame) -> int:
 
 
 def test_metrics_per_user_need_no_shuffle_over_the_stored_rollup(spark, events, config):
-    rollup = store_rollup(events, config)
-    for metric in (op.ltv_basic, op.ltv_detail, op.churn_risk, op.segment_features, op.user_signup):
-        assert exchanges(metric(rollup)) == 0
-        assert exchanges(metric(events)) == 1
-    assert exchanges(op.user_engagement(rollup)) == 0
-    assert value_set(op.user_engagement(rollup)) == value_set(op.user_engagement(events))
+    with run_rollup(events, config) as rollup:
+        per_user = (op.ltv_basic, op.ltv_detail, op.churn_risk, op.segment_features, op.user_signup)
+        for metric in per_user:
+            assert exchanges(metric(rollup)) == 0
+            assert exchanges(metric(events)) == 1
+        assert exchanges(op.user_engagement(rollup)) == 0
+        assert value_set(op.user_engagement(rollup)) == value_set(op.user_engagement(events))
+
+
+def test_runs_at_the_same_time_have_rollups_of_their_own(spark, events, config):
+    with run_rollup(events, config) as one, run_rollup(events.filter("user_id = 'u1'"), config) as two:
+        assert {row[0] for row in values(two)} == {"u1"}
+        assert len({row[0] for row in values(one)}) == 5
+    assert not [t for t in spark.catalog.listTables(config.database) if "rollup" in t.name]
+
+
+def loaded_files(spark, config) -> set[str]:
+    new = new_events(spark, config)
+    return set() if new is None else set(new.inputFiles())
+
+
+def test_a_second_run_reads_only_the_new_load(spark, events, config):
+    load_events(events.filter("user_id <> 'u1'"), "first", config)
+    run_warehouse_profile(spark, config)
+    assert loaded_files(spark, config) == set()
+    load_events(events.filter("user_id = 'u1'"), "second", config)
+    files = loaded_files(spark, config)
+    assert files and all("load_id=second" in name for name in files)
+    run_warehouse_profile(spark, config)
+    run_local_profile(spark, config)
+    full = {
+        "ltv_detail": op.ltv_detail(events),
+        "funnel_volume": op.funnel_volume(events),
+        "user_daily_activity": op.user_daily_activity(events),
+        "revenue_trend": op.revenue_hourly(events),
+        "churn_metrics": op.churn_risk(events),
+        "ltv_metrics": op.ltv_basic(events),
+        "cohort_metrics": op.cohort_daily(events),
+        "funnel_metrics": op.funnel_fixed(events),
+    }
+    for name, frame in full.items():
+        assert value_set(spark.table(config.table(name))) == value_set(frame), name
+
+
+def test_a_load_made_again_is_rolled_up_again(spark, events, config):
+    load_events(events, "a", config)
+    run_metrics(spark, ["churn_metrics"], config)
+    load_events(events.filter("user_id = 'u1'"), "a", config)
+    assert op.kpi_global(current_activity(spark, config)).first()[0] == 1
+    run_metrics(spark, ["churn_metrics"], config)
+    assert {row[0] for row in values(spark.table(config.table("churn_metrics")))} == {"u1"}
 
 
-def test_rollup_is_replaced_by_the_next_run(spark, events, config):
-    store_rollup(events, config)
-    again = store_rollup(events.filter("user_id = 'u1'"), config)
-    assert {row[0] for row in values(again)} == {"u1"}
+def test_the_rollup_follows_a_compaction(spark, events, config):
+    for user in ("u1", "u2", "u3", "u4", "u5"):
+        load_events(events.filter(F.col("user_id") == user), f"load-{user}", config)
+    refresh_rollup(spark, config)
+    compact_events(spark, date(2024, 1, 4), config)
+    expected = value_set(op.kpi_global(events))
+    assert value_set(op.kpi_global(current_activity(spark, config))) == expected
+    assert value_set(op.kpi_global(refresh_rollup(spark, config))) == expected
+
+
+def test_runs_over_a_range_of_days(spark, events, config):
+    load_events(events, "a", config)
+    run_metrics(spark, ["funnel_observed"], config, since=date(2024, 1, 2), until=date(2024, 1, 3))
+    day = events.filter("to_date(timestamp) = '2024-01-02'")
+    stored = spark.table(config.table("funnel_observed"))
+    assert value_set(stored) == value_set(op.funnel_users(day))
+
+
+def spend_by_type(rollup, config):
+    return rollup.groupBy("event_type").agg(F.sum("amount").alias("spend"))
+
+
+def test_jobs_from_the_command_line(spark, events, config, tmp_path):
+    def job(*arguments):
+        return run(spark, ["--database", config.database, *map(str, arguments)])
+
+    append_csv(events.filter("user_id = 'u1'"), str(tmp_path / "csv"))
+    append_messages(events.filter("user_id <> 'u1'"), str(tmp_path / "json"))
+    job("load-csv", tmp_path / "csv", "--checkpoint", tmp_path / "c1", "--name", "csv")
+    job("ingest", tmp_path / "json", "--checkpoint", tmp_path / "c2", "--name", "json", "--once")
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    assert job("compact", "--before", "2024-01-03") == []
+    assert "ltv_metrics" in job("local", "--until", "2024-02-01", "--model-path", tmp_path / "model")
+    assert "ltv_detail" in job("warehouse", "--since", "2024-01-01")
+    assert job("metric", "churn_metrics", "spend=test_plans:spend_by_type") == ["churn_metrics", "spend"]
+    assert ("purchase", 170.5) in value_set(spark.table(config.table("spend")))
+    with pytest.raises(ValueError, match="no such metric"):
+        job("metric", "nothing")
+    with pytest.raises(SystemExit):
+        job("unknown")
 
 
 def test_local_profile(spark, events, config, tmp_path):
@@ -165,6 +262,18 @@ def test_a_broken_part_does_not_disturb_the_others(spark, events, config):
     assert shown["stats"][0]["total_events"] == 13
 
 
+def test_a_part_that_fails_is_marked(spark, events, config):
+    load_events(events, "all", config)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {config.table('churn_metrics')} AS "
+        "SELECT CAST(raise_error('lost') AS STRING) AS user_id, 1L AS event_count, "
+        "1L AS purchase_count, CAST(raise_error('lost') AS INT) AS is_at_risk"
+    )
+    shown = dashboard_records(spark, config)
+    assert isinstance(shown["churn"], DashboardPartError) and "lost" in shown["churn"].reason
+    assert shown["stats"][0]["total_events"] == 13
+
+
 def test_failed_metric_leaves_the_old_table(spark, events, config):
     save_metric(op.cohort_daily(events), "m", config)
     failing = spark.range(3).selectExpr("assert_true(id < 0) AS broken")

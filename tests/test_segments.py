@@ -6,6 +6,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
@@ -85,7 +86,7 @@ def test_every_user_is_in_the_group_with_the_nearest_mean(spark):
 
 def test_best_start_is_kept(spark):
     spread = features(spark, [(f"u{i}", i * 37 % 101, float(i * 53 % 211)) for i in range(80)])
-    frame = segments._scaling().fit(spread).transform(spread).select("scaled").persist()
+    frame = segments._scaling().fit(spread).transform(spread).selectExpr("scaled", "1.0D AS weight").persist()
     costs = [
         segments._best_of_starts(
             frame, AnalyticsConfig(segment_starts=1, segment_seed=seed, segment_count=5)
@@ -98,6 +99,31 @@ def test_best_start_is_kept(spark):
     frame.unpersist()
 
 
+def test_partitions_of_the_input_do_not_matter(spark, sf_dir):
+    from __spark_entry__ import REPORT, given_events
+
+    users = op.segment_features(given_events(spark, sf_dir), REPORT).persist()
+    labelled = [labels(op.fit_segments(users.repartition(n), REPORT).users) for n in (4, 7, 16)]
+    assert labelled[0] == labelled[1] == labelled[2]
+
+
+def test_the_check_finds_what_is_wrong(spark):
+    users = op.fit_segments(features(spark, THREE_GROUPS), CONFIG).users
+    assert value_set(op.segment_check(users)) == {(9, 3, 4096.0, 0, 0)}
+    swapped = users.withColumn(
+        "segment_id", F.when(F.col("user_id") == "a1", 99).otherwise(F.col("segment_id"))
+    ).replace({"Low Value": "High Value", "High Value": "Low Value"}, subset=["segment_label"])
+    row = op.segment_check(swapped).first()
+    assert (row.segments, row.disordered > 0) == (4, True)
+    moved = users.withColumn(
+        "segment_id",
+        F.when(F.col("user_id") == "c1", users.filter("user_id = 'a1'").first().segment_id).otherwise(
+            F.col("segment_id")
+        ),
+    )
+    assert op.segment_check(moved).first().misplaced > 0
+
+
 def test_null_spend_is_clustered_as_zero_and_stays_null(spark):
     rows = [*THREE_GROUPS, ("n", 2, None)]
     users = op.fit_segments(features(spark, rows), CONFIG).users

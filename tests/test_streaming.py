@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import os
+import time
+from datetime import date
+
 import pytest
 
 from clickmetrics import AnalyticsConfig
-from clickmetrics.sinks import append_csv, append_messages
+from clickmetrics.sinks import append_csv, append_messages, compact_events
 from clickmetrics.sources import csv_events, events_table
 from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv, quarantined
 from clickmetrics.streaming import ingest
+from clickmetrics.streaming.ingest import load_batch
 from fixtures import EDGE_EVENTS, events_of, value_set, values
 
 
@@ -107,11 +113,11 @@ def test_interval_trigger_runs_until_stopped(spark, events, config, tmp_path):
 def test_staged_csv_is_loaded_once(spark, events, config, tmp_path):
     staging, checkpoint = str(tmp_path / "staging"), str(tmp_path / "checkpoint")
     append_csv(events.filter("user_id = 'u1'"), staging)
-    load_staged_csv(spark, staging, checkpoint, config=config)
-    load_staged_csv(spark, staging, checkpoint, config=config)
+    load_staged_csv(spark, staging, checkpoint, "staged", config)
+    load_staged_csv(spark, staging, checkpoint, "staged", config)
     assert events_table(spark, config).count() == 5
     append_csv(events.filter("user_id <> 'u1'"), staging)
-    load_staged_csv(spark, staging, checkpoint, config=config)
+    load_staged_csv(spark, staging, checkpoint, "staged", config)
     assert value_set(events_table(spark, config)) == value_set(csv_events(spark, staging))
 
 
@@ -121,9 +127,9 @@ def test_staged_file_that_does_not_fit_is_tried_again(spark, config, tmp_path):
     header = "user_id,event_type,amount,timestamp\n"
     (staging / "a.csv").write_text(header + "u1,login,much,2024-01-01 10:00:00\n")
     with pytest.raises(Exception):
-        load_staged_csv(spark, str(staging), checkpoint, config=config)
+        load_staged_csv(spark, str(staging), checkpoint, "staged", config)
     (staging / "a.csv").write_text(header + "u1,login,0.0,2024-01-01 10:00:00\n")
-    load_staged_csv(spark, str(staging), checkpoint, config=config)
+    load_staged_csv(spark, str(staging), checkpoint, "staged", config)
     assert events_table(spark, config).count() == 1
 
 
@@ -131,6 +137,7 @@ def test_done_files_can_be_archived(spark, events, config, tmp_path):
     staging, archive = tmp_path / "staging", tmp_path / "archive"
     arguments = dict(
         checkpoint=str(tmp_path / "checkpoint"),
+        load_name="staged",
         config=config,
         after_load="archive",
         archive=str(archive),
@@ -142,4 +149,49 @@ def test_done_files_can_be_archived(spark, events, config, tmp_path):
     assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
     assert list(archive.rglob("*.csv"))
     with pytest.raises(ValueError):
-        load_staged_csv(spark, str(staging), str(tmp_path / "c"), after_load="archive")
+        load_staged_csv(spark, str(staging), str(tmp_path / "c"), "s", after_load="archive")
+
+
+def dated(path, days_back: int) -> None:
+    moment = time.time() - days_back * 86_400
+    os.utime(path, (moment, moment))
+
+
+def test_files_of_any_date_are_loaded(spark, config, tmp_path):
+    staging, landing = tmp_path / "staging", tmp_path / "landing"
+    for folder in (staging, landing):
+        folder.mkdir()
+    header = "user_id,event_type,amount,timestamp\n"
+    for number, days_back in enumerate((0, 9, 400)):
+        event = {"user_id": f"m{number}", "event_type": "login", "timestamp": "2024-01-01 10:00:00"}
+        (staging / f"{number}.csv").write_text(f"{header}c{number},login,0.0,2024-01-01 10:00:00\n")
+        (landing / f"{number}.txt").write_text(json.dumps(event) + "\n")
+        dated(staging / f"{number}.csv", days_back)
+        dated(landing / f"{number}.txt", days_back)
+        load_staged_csv(spark, str(staging), str(tmp_path / "c"), "staged", config)
+        drain(spark, landing, tmp_path, config)
+    users = {row[0] for row in values(events_table(spark, config))}
+    assert users == {"c0", "c1", "c2", "m0", "m1", "m2"}
+
+
+def test_folders_and_checkpoints_do_not_take_each_others_place(spark, events, config, tmp_path):
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    append_csv(events.filter("user_id = 'u1'"), first)
+    append_csv(events.filter("user_id <> 'u1'"), second)
+    load_staged_csv(spark, first, str(tmp_path / "ca"), "staged", config)
+    load_staged_csv(spark, second, str(tmp_path / "cb"), "staged", config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    # A new checkpoint reads its folder again, as loads of its own.
+    load_staged_csv(spark, second, str(tmp_path / "cc"), "staged", config)
+    assert events_table(spark, config).count() == 13 + 8
+
+
+def test_a_replayed_batch_is_stored_once_after_compaction(spark, events, config, tmp_path):
+    landing = tmp_path / "landing"
+    append_messages(events.repartition(4), str(landing))
+    drain(spark, landing, tmp_path, config, max_files_per_batch=1)
+    compact_events(spark, date(2024, 1, 4), config)
+    loads = {row.load for row in spark.table(config.table("folded_loads")).collect()}
+    for load in loads:
+        load_batch(events, load, config)
+    assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from clickmetrics.llm import bpe
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+VOCABULARY = bpe.Vocabulary.from_file(PATH)
+LIBRARY = Tokenizer.from_file(PATH)
+LETTERS = "aaabbeiinnot's  \n\t\r\x0b\x1c\x85\xa0éèßñÀÉ×÷漢字🙂İΣſḰ̀<|>0123½²३"
+
+
+def expected(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return ids, LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+def agree(text):
+    encoder = bpe.encoder_of(VOCABULARY)
+    (packed,) = encoder.encode([text])
+    ids = np.frombuffer(packed, dtype="<u4").tolist()
+    assert (ids, encoder.decode(packed)) == expected(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=LETTERS, max_size=40))
+def test_mixed_letters(text):
+    agree(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40))
+def test_any_text(text):
+    agree(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "", "  \n", "don't WE'LL I'm 're", "<|endoftext|>", "a<|startoftext|><|endoftext|>b", "x<|y",
+        "hahahahahaha" * 3, "aaaa" * 25_000, "ÀÉÎ's B9 é", "tokenization of 12345 words, e.g. naïve ones",
+    ],
+)
+def test_cases(text):
+    agree(text)
+
+
+def test_words_are_indexed_together_and_forgotten(monkeypatch):
+    monkeypatch.setattr(bpe, "CHARS_AT_ONCE", 20)
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 3)
+    encoder = bpe.PairIndexEncoder(VOCABULARY)
+    texts = [f"some words {i} and more of the words" for i in range(30)] + ["", "of the"]
+    packed = list(encoder.encode(texts))
+    assert [np.frombuffer(p, dtype="<u4").tolist() for p in packed] == [expected(t)[0] for t in texts]
+
+
+def test_edges(documents, edge_texts):
+    docs = documents([*edge_texts, "<|endoftext|> x"])
+    rows = bpe.bpe_decode(bpe.bpe_encode(docs, VOCABULARY, into="size"), VOCABULARY, "size", "plan")
+    rows = rows.select("text", "size", "n_tokens", "plan", bpe.unpacked(rows["size"]).alias("list")).collect()
+    assert len(rows) == len(edge_texts) + 1
+    for row in rows:
+        ids, text = expected(row.text or "")
+        assert (row.list, row.plan, row.n_tokens) == (ids, text, len(ids))
+    assert bpe.bpe_encode(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_other_kinds_of_vocabulary_are_refused():
+    byte_level = bpe.Vocabulary.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    with pytest.raises(ValueError):
+        bpe.PairIndexEncoder(byte_level)
+
+
+def test_query_over_the_whole_table(spark, sf_dir):
+    from clickmetrics.llm.queries import op6_bpe
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op6_bpe(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids, text = expected(texts[row.doc_id] or "")
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()

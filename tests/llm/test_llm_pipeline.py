@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import brute
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+
+def plain_pipeline(docs):
+    """(doc_id, ids) with the number of times the corpus holds it."""
+    docs = [d for d in docs if brute.kept(d[1])]
+    texts = brute.dedup_lines([text for _, text, _ in docs], 10)
+    docs = sorted((i, text, source) for (i, _, source), text in zip(docs, texts))
+    roots = brute.components([brute.fingerprint(text) for _, text, _ in docs])
+    docs = [doc for number, doc in enumerate(docs) if roots[number] == number]
+    copies, *_ = brute.mix(docs)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return Counter(
+        {
+            (docs[i][0], tuple(library.encode(docs[i][1], add_special_tokens=False).ids)): n
+            for i, n in copies.items()
+        }
+    )
+
+
+def test_whole_run_matches_brute_force(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    expected = plain_pipeline([(r.doc_id, r.text, r.source) for r in given])
+    found = Counter()
+    for row in corpus_pipeline.run(spark, sf_dir).collect():
+        ids = tuple(np.frombuffer(row.ids, dtype="<u4").tolist())
+        assert row.n_tokens == len(ids)
+        found[row.doc_id, ids] += 1
+    assert found == expected
+
+
+def test_stages_keep_columns_and_bear_edges(spark, documents, edge_texts):
+    good = " ".join(f"plain{i} words" for i in range(40))
+    docs = documents([*edge_texts, good, good])
+    for frame, left in ((docs, 1), (docs.limit(0), 0)):
+        columns = frame.columns
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stage(spark, frame, "unused")
+            assert frame.columns == columns
+        ended = corpus_pipeline.STAGES[-1][1](spark, frame, "unused")
+        texts = {r.doc_id for r in ended.collect()}
+        assert len(texts) >= left
+    assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]

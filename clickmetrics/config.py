@@ -5,8 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # The funnel stages in lifecycle order, the event type that carries money,
-# the text format that event times are read in, fractions of a second optional, the segment names from the lowest mean spend up, and
-# the thresholds of the two per-user rules.
+# the text format that event times are read in, fractions of a second optional, the segment names
+# from the lowest mean spend up, and the thresholds of the two per-user rules.
 FUNNEL_STAGES = ("login", "product_view", "add_to_cart", "purchase")
 PURCHASE = "purchase"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"

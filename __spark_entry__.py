@@ -252,15 +252,21 @@ def _over_daily(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSessi
     return lambda spark, sf_dir: build(daily_user_events(spark, sf_dir))
 
 
+def _installed(module: str) -> bool:
+    """Whether a module is there; an emptied folder, which has no file of its own, is not."""
+    spec = find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
 def _training_data(name: str) -> dict:
     """``QUERIES`` or ``ORACLE_SQL`` of the training-data operators, where they are installed."""
-    if find_spec("clickmetrics.llm") is None:
+    if not _installed("clickmetrics.llm"):
         return {}
     return getattr(import_module("clickmetrics.llm.queries"), name)
 
 
 def _pipeline() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    if find_spec("clickmetrics.llm") is None or find_spec("corpus_pipeline") is None:
+    if not (_installed("clickmetrics.llm") and _installed("corpus_pipeline")):
         return {}
     return {"pipeline": import_module("corpus_pipeline").run}
 

@@ -23,9 +23,13 @@ from tokenizers import Tokenizer
 
 from clickmetrics.llm.common import whole_text
 
+#: Bytes of a batch that a task works on at a time, but for a single longer text.
+BYTES_AT_ONCE = 2_000_000
+
 #: Characters of new words that are indexed together, and the number of words kept, at most.
-CHARS_AT_ONCE = 8_000_000
-WORDS_KEPT = 500_000
+CHARS_AT_ONCE = 1_000_000
+WORDS_KEPT = 250_000
+POSITIONS_AT_ONCE = 250_000
 
 # The normalisers and the splitting pattern of the files for which words of plain
 # Western letters are cut without the library, and those letters, digits and signs.
@@ -54,9 +58,35 @@ def encoder_of(vocabulary: Vocabulary) -> PairIndexEncoder:
     return PairIndexEncoder(vocabulary)
 
 
+@cache
+def decoder_of(vocabulary: Vocabulary) -> TokenDecoder:
+    """The decoder of a vocabulary, which needs no merges, kept likewise."""
+    return TokenDecoder(vocabulary)
+
+
+class TokenDecoder:
+    """Decodes ids; holds the tokens only."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        stored = json.loads(vocabulary.content)
+        if stored["decoder"]:
+            raise ValueError("not a vocabulary whose tokens are joined by blanks")
+        names = stored["model"]["vocab"] | {
+            token["content"]: token["id"] for token in stored["added_tokens"]
+        }
+        self.tokens = [""] * (max(names.values()) + 1)
+        for name, number in names.items():
+            self.tokens[number] = name
+
+    def decode(self, packed: bytes) -> str:
+        """Tokens of the ids, special ones too, joined by blanks."""
+        ids = np.frombuffer(packed, dtype="<u4").tolist()
+        return " ".join(map(self.tokens.__getitem__, ids))
+
+
 @dataclass
 class PairIndexEncoder:
-    """Encodes and decodes texts; holds the codes of words met so far, up to a bound."""
+    """Encodes texts; holds the codes of words met so far, up to a bound."""
 
     vocabulary: Vocabulary
     codes: dict[str, bytes] = field(default_factory=dict)
@@ -88,15 +118,11 @@ class PairIndexEncoder:
         marks = sorted(self.special, key=len, reverse=True)
         self.cut_special = re.compile("(" + "|".join(map(re.escape, marks)) + ")") if marks else None
         letters = [name for name in self.ids if len(name) == 1]
-        self.first_symbols = np.zeros(max(map(ord, letters)) + 1, dtype=np.int64)
+        self.first_symbols = np.zeros(max(map(ord, letters)) + 1, dtype=np.int32)
         self.last_symbols = self.first_symbols.copy()
         for letter in letters:
             self.first_symbols[ord(letter)] = self.ids[letter]
             self.last_symbols[ord(letter)] = self.ids[letter + self.suffix]
-        names = self.ids | self.special
-        self.tokens = [""] * (max(names.values()) + 1)
-        for name, number in names.items():
-            self.tokens[number] = name
         self._read_merges(model["merges"])
 
     def _read_merges(self, merges) -> None:
@@ -104,30 +130,30 @@ class PairIndexEncoder:
         left = np.array([self.ids[a] for a, _ in pairs], dtype=np.int64)
         right = np.array([self.ids[b] for _, b in pairs], dtype=np.int64)
         self.rank_left, self.rank_right = left, right
-        self.rank_result = np.array([self.ids[a + b] for a, b in pairs], dtype=np.int64)
+        self.rank_result = np.array([self.ids[a + b] for a, b in pairs], dtype=np.int32)
         keys = (left << 32) | right
         self.key_order = np.argsort(keys)
         self.keys = keys[self.key_order]
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 for pairs that never merge."""
-        keys = (left << 32) | right
+        keys = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.key_order[at], -1)
 
     def merge_words(self, words: list[str]) -> list[bytes]:
         """The packed codes of words, none of them empty, in the letters that stand for bytes."""
-        lengths = np.array(list(map(len, words)), dtype=np.int64)
+        lengths = np.array(list(map(len, words)), dtype=np.int32)
         letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         symbols = self.first_symbols[letters]
         size = len(symbols)
         if not size:
             return []
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int32)
         symbols[ends - 1] = self.last_symbols[letters[ends - 1]]
-        following = np.arange(1, size + 1)
+        following = np.arange(1, size + 1, dtype=np.int32)
         following[ends - 1] = -1
-        preceding = np.arange(-1, size - 1)
+        preceding = np.arange(-1, size - 1, dtype=np.int32)
         preceding[ends - lengths] = -1
         alive = np.ones(size, dtype=bool)
 
@@ -149,7 +175,10 @@ class PairIndexEncoder:
                     heapq.heappush(active, rank)
                 index[rank].append(positions[start:end])
 
-        enter(np.flatnonzero(following >= 0))
+        del letters
+        for start in range(0, size, POSITIONS_AT_ONCE):
+            part = np.flatnonzero(following[start : start + POSITIONS_AT_ONCE] >= 0) + start
+            enter(part.astype(np.int32))
         while active:
             rank = heapq.heappop(active)
             at = _sorted_once(index.pop(rank))
@@ -170,7 +199,7 @@ class PairIndexEncoder:
             enter(_sorted_once([before[before >= 0], at[beyond >= 0]]))
 
         packed = symbols[alive].astype("<u4").tobytes()
-        cuts = [0, *(np.cumsum(alive)[ends - 1] * 4).tolist()]
+        cuts = [0, *(np.cumsum(alive, dtype=np.int32)[ends - 1] * 4).tolist()]
         return [packed[start:end] for start, end in zip(cuts, cuts[1:])]
 
     def _pieces(self, chunk: str) -> list[str | int]:
@@ -226,11 +255,6 @@ class PairIndexEncoder:
             self.learn(fresh)
         yield group
 
-    def decode(self, packed: bytes) -> str:
-        """Tokens of the ids, special ones too, joined by blanks."""
-        ids = np.frombuffer(packed, dtype="<u4").tolist()
-        return " ".join(map(self.tokens.__getitem__, ids))
-
 
 def _sorted_once(positions: list[np.ndarray]) -> np.ndarray:
     joined = np.sort(np.concatenate(positions))
@@ -244,13 +268,26 @@ def _not_overlapping(at: np.ndarray, following: np.ndarray) -> np.ndarray:
         if position != used:
             kept.append(position)
             used = after
-    return np.array(kept, dtype=np.int64)
+    return np.array(kept, dtype=np.int32)
 
 
 def _chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def _parts(batch: pa.Array) -> Iterator[list]:
+    """The values of a batch, a bounded part at a time."""
+    part, size = [], 0
+    for value in batch:
+        part.append(value.as_py())
+        size += len(part[-1])
+        if size >= BYTES_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def encoded(text: Column, vocabulary: Vocabulary) -> Column:
     """A text's ids, packed as little-endian unsigned 32-bit integers."""
 
@@ -258,7 +295,8 @@ def encoded(text: Column, vocabulary: Vocabulary) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoder_of(vocabulary)
         for batch in batches:
-            yield pa.array(encoder.encode(text.as_py() for text in batch), pa.binary())
+            for texts in _parts(batch):
+                yield pa.array(encoder.encode(texts), pa.binary())
 
     return encode(text)
 
@@ -266,13 +304,50 @@ def encoded(text: Column, vocabulary: Vocabulary) -> Column:
 def decoded(packed: Column, vocabulary: Vocabulary) -> Column:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decoder = encoder_of(vocabulary)
+        decoder = decoder_of(vocabulary)
         for batch in batches:
-            yield pa.array((decoder.decode(ids.as_py()) for ids in batch), pa.string())
+            for part in _parts(batch):
+                yield pa.array(map(decoder.decode, part), pa.string())
 
     return decode(packed)
 
 
+def _both(text: Column, vocabulary: Vocabulary) -> Column:
+    """Ids and the text they decode to, by one worker instead of one for each."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def encode_and_decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = encoder_of(vocabulary), decoder_of(vocabulary)
+        for batch in batches:
+            for texts in _parts(batch):
+                ids = list(encoder.encode(texts))
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array(map(decoder.decode, ids), pa.string())],
+                    ["ids", "decoded"],
+                )
+
+    return encode_and_decode(text)
+
+
+def bpe_round_trip(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    text: str = "text",
+    ids: str = "ids",
+    decoded_text: str = "decoded",
+) -> DataFrame:
+    """``bpe_decode`` of ``bpe_encode`` with half of its workers and transfers."""
+    both = _both(whole_text(text), vocabulary)
+    found = docs.select(F.struct("*").alias("document"), both.alias("both"))
+    columns = [name for name in docs.columns if name not in (ids, decoded_text, "n_tokens")]
+    return found.select(
+        *[F.col("document").getField(name).alias(name) for name in columns],
+        F.col("both.ids").alias(ids),
+        F.expr("octet_length(both.ids) DIV 4").cast("long").alias("n_tokens"),
+        F.col("both.decoded").alias(decoded_text),
+    )
+
+
 def bpe_encode(
     docs: DataFrame, vocabulary: Vocabulary, text: str = "text", into: str = "ids"
 ) -> DataFrame:

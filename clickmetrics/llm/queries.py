@@ -70,8 +70,7 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    encoded = bpe.bpe_encode(table(spark, sf_dir, "documents"), vocabulary)
-    return bpe.bpe_decode(encoded, vocabulary).select(
+    return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), vocabulary).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

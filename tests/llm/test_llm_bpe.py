@@ -25,7 +25,7 @@ def agree(text):
     encoder = bpe.encoder_of(VOCABULARY)
     (packed,) = encoder.encode([text])
     ids = np.frombuffer(packed, dtype="<u4").tolist()
-    assert (ids, encoder.decode(packed)) == expected(text)
+    assert (ids, bpe.decoder_of(VOCABULARY).decode(packed)) == expected(text)
 
 
 @settings(max_examples=400, deadline=None)
@@ -68,6 +68,12 @@ def test_edges(documents, edge_texts):
     for row in rows:
         ids, text = expected(row.text or "")
         assert (row.list, row.plan, row.n_tokens) == (ids, text, len(ids))
+    once = bpe.bpe_round_trip(docs, VOCABULARY, ids="size", decoded_text="plan")
+    found = once.select("text", "size", "n_tokens", "plan").collect()
+    key = lambda row: (row.text is None, row.text or "")
+    assert [tuple(r) for r in sorted(found, key=key)] == [tuple(r)[:4] for r in sorted(rows, key=key)]
+    assert set(once.columns) == set(docs.columns) | {"size", "n_tokens", "plan"}
+    assert bpe.bpe_round_trip(docs.limit(0), VOCABULARY).count() == 0
     assert bpe.bpe_encode(docs.limit(0), VOCABULARY).count() == 0
 
 

@@ -123,29 +123,33 @@ class LineShard:
         return counts
 
 
-def line_hashes(text: Column, min_chars: int) -> Column:
-    """For each line its key's two hashes; null for a key of fewer than ``min_chars`` characters.
+def line_keys(text: Column) -> Column:
+    """For each line its key: without blanks at its ends, ASCII capitals folded."""
+    return F.transform(
+        F.split(text, "\n"), lambda line: lower_ascii(F.btrim(line, F.lit(SPACES)))
+    )
 
-    A key is the line without blanks at its ends, ASCII capitals folded.
-    """
 
-    def hashes(line: Column) -> Column:
-        key = lower_ascii(F.btrim(line, F.lit(SPACES)))
+def key_hashes(keys: Column, min_chars: int) -> Column:
+    """For each key its two hashes; null for a key of fewer than ``min_chars`` characters."""
+
+    def hashes(key: Column) -> Column:
         pair = F.struct(
             F.xxhash64(key).alias("hash_1"), F.xxhash64(F.lit("second"), key).alias("hash_2")
         )
         return F.when(F.char_length(key) >= min_chars, pair)
 
-    return F.transform(F.split(text, "\n"), hashes)
+    return F.transform(keys, hashes)
 
 
 def frequent_lines(docs: DataFrame, min_docs: int, min_chars: int, text: str = "text") -> DataFrame:
     """Hashes of the lines that at least ``min_docs`` documents have, with their number.
 
     A document counts once per line. Counts are added up before the shuffle, so a line that
-    every document has costs one row per task.
+    every document has costs one row per task. Keys are made distinct as strings, for which Spark
+    has a hash set; among structs it would compare every line of a document with every other.
     """
-    once = F.array_distinct(line_hashes(whole_text(text), min_chars))
+    once = key_hashes(F.array_distinct(line_keys(whole_text(text))), min_chars)
     return (
         docs.select(F.explode(once).alias("line"))
         .filter("line IS NOT NULL")
@@ -252,7 +256,7 @@ def dedup_lines(
         probe = _without_lines(spark.sparkContext.broadcast(part.collect()), shards, min_docs)
         probed = found.select(
             F.struct(*found.columns).alias("document"),
-            probe(whole, line_hashes(whole, min_chars)).alias("probed"),
+            probe(whole, key_hashes(line_keys(whole), min_chars)).alias("probed"),
         )
         found = probed.withColumn(
             "document",

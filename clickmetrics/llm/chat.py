@@ -49,7 +49,7 @@ def passages(lines: Column) -> Column:
             lambda passage: F.btrim(F.regexp_replace(F.lower(passage), r"\s+", " ")),
         )
         return F.transform(
-            F.filter(found, lambda passage: passage != ""),
+            F.array_distinct(F.filter(found, lambda passage: passage != "")),
             lambda passage: F.struct(
                 level.alias("level"),
                 F.xxhash64(passage).alias("hash_1"),
@@ -58,7 +58,7 @@ def passages(lines: Column) -> Column:
         )
 
     levels = F.array_distinct(F.transform(lines, lambda line: line["level"]))
-    return F.array_distinct(F.flatten(F.transform(levels, of_level)))
+    return F.flatten(F.transform(levels, of_level))
 
 
 def own_text(lines: Column) -> Column:

@@ -146,7 +146,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     messages in a thread by turn, so a reply is always after what it replies to. ``position``
     numbers them from 0. ``content`` is the message without quotes, ``chat`` has its role in front.
 
-    A null text is an empty message, a null role reads ``unknown`` in ``chat``. Messages without
+    A null text is an empty message, a null role reads ``unknown``. Messages without
     conv_id or turn are kept, with null position and thread, and link to nothing. Rows with the
     same conversation and turn are one place: they share position and links, and are all returned.
     An empty table gives no rows; columns beside the four are not looked at.
@@ -186,7 +186,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
             "position",
             "thread",
             "turn",
-            "role",
+            role.alias("role"),
             "reply_to",
             "n_quotes",
             "n_linked",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,19 @@ def text_key(column: str = "text") -> list[Column]:
     ]
 
 
+def bounded_parts(batch: pa.Array, size_at_once: int) -> Iterator[list]:
+    """The texts or bytes of a batch in parts of about a size, but for a single longer value."""
+    part, size = [], 0
+    for value in batch:
+        part.append(value.as_py())
+        size += len(part[-1])
+        if size >= size_at_once:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def row_hash(frame: DataFrame) -> Column:
     """A hash of a row's columns; map columns, which have no order, are left out."""
     hashed = [name for name, kind in frame.dtypes if "map<" not in kind]

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from clickmetrics.llm import (
     bpe,
     chat,
+    conversation_trie,
+    lexical,
     line_dedup,
     mixing,
     neighbours,
+    pieces,
     quality,
     secrets,
     sharding,
@@ -25,6 +28,7 @@ from clickmetrics.llm.common import whole_text
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 BASE_KINDS = tuple(rule.kind for rule in secrets.BASE_RULES)
@@ -110,6 +114,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = conversation_trie.conversation_paths(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_common_heads(paths, every=100, lengths=6))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.PieceModel.from_file(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.piece_round_trip(table(spark, sf_dir, "documents"), model).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -123,6 +148,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest,
         op9_line_dedup,
         op10_simhash,
+        op11_lexical_search,
+        op12_prefix_trie,
+        op13_pieces,
     )
 }
 
@@ -219,6 +247,82 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT)
 FROM marked GROUP BY doc_id
 """
 
+_SEARCH = r"""
+WITH found AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+docs AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM found WHERE len(terms) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+postings AS (
+  SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(c.docs) + 2 AS DOUBLE) / (2 * count(*) + 1)))
+                    AS BIGINT) AS w
+  FROM postings, corpus c WHERE term IN (SELECT term FROM wanted) GROUP BY term),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * c.docs) // c.terms)))
+           AS impact
+  FROM postings JOIN weights USING (term), corpus c),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM wanted JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+_TRIE = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i:
+           CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS steps),
+own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+numbered AS (
+  SELECT conv_id, turns, xor(list_reduce(
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+           lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM own, crc),
+rebuilt AS (
+  SELECT n.conv_id, coalesce(base.turns[1:n.h], []) || n.turns[n.h + 1:] AS turns
+  FROM numbered n LEFT JOIN own base ON base.conv_id = n.conv_id - n.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS path, len(turns) = d AS ended
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), ''))
+           AS ends_sha256
+  FROM prefixes GROUP BY path, depth),
+children AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].text) END AS saved
+  FROM nodes LEFT JOIN children USING (path)),
+subtrees AS (
+  SELECT path[1:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM counted) GROUP BY ALL)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
+       CAST(c.n_convs AS BIGINT) AS n_convs, CAST(c.n_children AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s USING (path)
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1:c.depth - 1]
+"""
+
 #: DuckDB twins. The others have none: positions of matches, a greedy search, codes of a tokenizer,
 #: approximate search and XXH64 are beyond it, and are tested against brute force.
-ORACLE_SQL = {"op2_mix_sources": _MIX, "op4_quality_rules": _QUALITY, "op9_line_dedup": _LINES}
+ORACLE_SQL = {
+    "op2_mix_sources": _MIX,
+    "op4_quality_rules": _QUALITY,
+    "op9_line_dedup": _LINES,
+    "op11_lexical_search": _SEARCH,
+    "op12_prefix_trie": _TRIE,
+}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -139,3 +141,64 @@ def mix(docs, weights=(5, 2, 1), passes=3, seed=1):
             break
         copies[i] += 1
     return copies, sizes, size_of, target
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, k=50):
+    """(item_id, rank, doc_id, score) of (doc_id, text) and (item_id, text), by scoring all documents."""
+    counts = [(doc_id, Counter(TERM.findall((text or "").translate(FOLD)))) for doc_id, text in docs]
+    counts = [(doc_id, terms) for doc_id, terms in counts if terms]
+    n_docs, n_terms = len(counts), sum(terms.total() for _, terms in counts)
+    having = Counter(term for _, terms in counts for term in terms)
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in having.items()}
+    wanted = defaultdict(set)
+    for item_id, text in items:
+        wanted[item_id] |= set(TERM.findall((text or "").translate(FOLD)))
+    found = []
+    for item_id, terms in wanted.items():
+        scores = []
+        for doc_id, own in counts:
+            m = 50 + 50 * own.total() * n_docs // n_terms
+            score = sum(
+                weight[t] * (10**9 * own[t] // (1000 * own[t] + 20 * m)) for t in terms if t in own
+            )
+            if score > 0:
+                scores.append((-score, doc_id is not None, doc_id))
+        for rank, (score, _, doc_id) in enumerate(sorted(scores)[:k], 1):
+            found.append((item_id, rank, doc_id, -score))
+    return found
+
+
+def rebuilt(conversations, every=100, lengths=6):
+    """{conv_id: [(role, text)]} of (conv_id, turn, role, text) with the common heads put in."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in conversations:
+        if conv_id is not None:
+            own[conv_id].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {conv_id: [said[2:] for said in sorted(turns)] for conv_id, turns in own.items()}
+    heads = {c: zlib.crc32(str(c).encode()) % lengths for c in own}
+    return {c: own.get(c - c % every, [])[: heads[c]] + turns[heads[c] :] for c, turns in own.items()}
+
+
+def trie(paths):
+    """Rows of the prefix trie of {conv_id: turns}, in the columns' order."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for conv_id, turns in sorted(paths.items()):
+        for depth in range(len(turns) + 1):
+            members[tuple(turns[:depth])].append(conv_id)
+        ends[tuple(turns)].append(conv_id)
+    children = Counter(node[:-1] for node in members if node)
+    leaves, saved = Counter(), Counter()
+    for node, convs in members.items():
+        for depth in range(len(node) + 1):
+            leaves[node[:depth]] += not children[node]
+            saved[node[:depth]] += (len(convs) - 1) * len(node[-1][1]) if node else 0
+    return [
+        (
+            convs[0], len(node), members[node[:-1]][0] if node else None, len(convs), children[node],
+            leaves[node], saved[node], hashlib.sha256(",".join(map(str, ends[node])).encode()).hexdigest(),
+        )
+        for node, convs in members.items()
+    ]

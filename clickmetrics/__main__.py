@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.plans import run_local_profile, run_metrics, run_warehouse_profile
-from clickmetrics.plans.profiles import TIME_METRICS, USER_METRICS, Build
+from clickmetrics.plans.profiles import DAY_METRICS, HOUR_METRICS, USER_METRICS, Build
 from clickmetrics.session import build_session
 from clickmetrics.sinks import compact_events
 from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv
@@ -46,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
     metric.add_argument(
         "names",
         nargs="+",
-        help=f"{', '.join([*USER_METRICS, *TIME_METRICS])}, or name=module:function with a function "
+        help=f"{', '.join([*USER_METRICS, *DAY_METRICS, *HOUR_METRICS])}, or name=module:function with a function "
         "of the rollup by user and the settings",
     )
     for job in (*runs.values(), metric):

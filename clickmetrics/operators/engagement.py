@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.functions import day_of, percent
-from clickmetrics.operators.activity import DATED_EVENTS, as_activity
+from clickmetrics.operators.activity import ACTIVE_DAYS, DATED_EVENTS, as_activity
 from clickmetrics.schema import DAY_COLUMN
 
 
@@ -49,8 +49,16 @@ def user_daily_activity(events: DataFrame) -> DataFrame:
 
     The first grouping removes repeats of a day map-side, so what a user sends over the
     network is bounded by the number of days, not of events. The stored rollup, which has its
-    rows by day, does as well as events.
+    rows by day, does as well as events, and so does the state by user, which has lists of days.
     """
+    if ACTIVE_DAYS in events.columns:
+        days = F.array_distinct(F.flatten(F.collect_list(ACTIVE_DAYS)))
+        return events.groupBy("user_id").agg(days.alias("days")).select(
+            "user_id",
+            F.size("days").cast("bigint").alias("active_days"),
+            F.array_min("days").cast("timestamp").alias("first_active"),
+            F.array_max("days").cast("timestamp").alias("last_active"),
+        )
     by_day = "timestamp" not in events.columns
     day = F.col(DAY_COLUMN).cast("timestamp") if by_day else day_of(F.col("timestamp"))
     days = events.select("user_id", day.alias("activity_date")).distinct()

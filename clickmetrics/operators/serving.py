@@ -16,8 +16,10 @@ VOLUME_STAGES = FUNNEL_STAGES[1:]
 
 
 def kpi_global(events: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
-    """Distinct users, total amount and number of events, in one row; zeros for no events."""
-    return as_activity(events).agg(
+    """Distinct users, total amount and number of events, in one row; zeros for no events. Totals by
+    user do as well as events."""
+    totals = events if EVENTS in events.columns else as_activity(events)
+    return totals.agg(
         F.count_distinct("user_id").alias("total_users"),
         F.coalesce(money(F.sum(AMOUNT), config.money_digits), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(F.sum(EVENTS), F.lit(0).cast("bigint")).alias("total_events"),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from clickmetrics import operators as op
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.plans.rollup import current_activity
+from clickmetrics.plans.user_state import current_totals
 from clickmetrics.schema import EVENT_SCHEMA, METRIC_SCHEMAS
 from clickmetrics.sources.tables import metric_table
 
@@ -30,7 +30,7 @@ class DashboardPartError:
 def dashboard_snapshot(
     spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()
 ) -> dict[str, DataFrame]:
-    """All parts of the dashboard. The key figures are counted from the stored rollup and the
+    """All parts of the dashboard. The key figures are counted from the totals by user and the
     events since, the rest is read from the tables of the last run.
 
     A part whose table is missing or has another shape shows its default and does not disturb
@@ -50,7 +50,7 @@ def dashboard_snapshot(
     def stats() -> DataFrame:
         if not spark.catalog.tableExists(config.table(config.events_table)):
             return op.kpi_global(spark.createDataFrame([], EVENT_SCHEMA), config)
-        return op.kpi_global(current_activity(spark, config), config)
+        return op.kpi_global(current_totals(spark, config), config)
 
     return {
         "stats": stats(),

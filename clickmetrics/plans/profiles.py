@@ -1,4 +1,4 @@
-"""The two batch runs: each brings the stored rollup up to date and replaces its metric tables.
+"""The two batch runs: each adds new loads to the stored state and replaces its metric tables.
 
 Metrics come first, several side by side, segments and churn after them; each is a Spark job spread
 over the whole cluster. An error stops the run and is raised.
@@ -6,7 +6,9 @@ over the whole cluster. An error stops the run and is raised.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date
 from multiprocessing.pool import ThreadPool
 from typing import Literal
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickmetrics import operators as op
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.plans.rollup import days_between, refresh_rollup, run_rollup
+from clickmetrics.plans.user_state import refresh_user_state
 from clickmetrics.schema import EventSchemaError, require_event_columns
 from clickmetrics.sinks.events import create_events_table
 from clickmetrics.sinks.metrics import save_metric
@@ -39,11 +42,11 @@ USER_METRICS: dict[str, Build] = {
     "funnel_volume": lambda rollup, config: op.funnel_volume(rollup),
     "churn_metrics": op.churn_risk,
 }
-#: Metrics over time, built from the stored rollup.
-TIME_METRICS: dict[str, Build] = {
-    "user_daily_activity": lambda rollup, config: op.user_daily_activity(rollup),
-    "revenue_trend": op.revenue_hourly,
+#: Metrics by day, and those by hour.
+DAY_METRICS: dict[str, Build] = {
+    "user_daily_activity": lambda by_day, config: op.user_daily_activity(by_day)
 }
+HOUR_METRICS: dict[str, Build] = {"revenue_trend": op.revenue_hourly}
 SEGMENTS = "user_segments"
 
 LOCAL_RUN = ("ltv_metrics", "retention_metrics", "cohort_metrics", "funnel_metrics")
@@ -99,13 +102,12 @@ def run_metrics(
     ``more`` has further metrics by name: functions of the rollup by user and the settings.
     """
     user_metrics = USER_METRICS | (more or {})
-    unknown = set(names) - {*user_metrics, *TIME_METRICS}
+    unknown = set(names) - {*user_metrics, *DAY_METRICS, *HOUR_METRICS}
     if unknown:
         raise ValueError(f"no such metric: {', '.join(sorted(unknown))}")
     create_events_table(spark, config)
-    rollup = days_between(refresh_rollup(spark, config), since, until)
-    with run_rollup(rollup, config) as by_user:
-        return _save_all(_built(names, rollup, by_user, user_metrics, config), config, on_empty)
+    with run_inputs(spark, config, since, until) as inputs:
+        return _save_all(_built(names, inputs, user_metrics, config), config, on_empty)
 
 
 def verify_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
@@ -125,20 +127,41 @@ def _run(
     since: date | None,
     until: date | None,
 ) -> list[str]:
+    with run_inputs(spark, config, since, until) as inputs:
+        saved = _save_all(_built(names, inputs, USER_METRICS, config), config, on_empty)
+        return saved + _save_models(inputs.by_user, config, model_path)
+
+
+@dataclass(frozen=True)
+class RunInputs:
+    """What the metrics of a run are built from: activity by user, by day and by hour."""
+
+    by_user: DataFrame
+    by_day: DataFrame
+    by_hour: DataFrame
+
+
+@contextmanager
+def run_inputs(
+    spark: SparkSession, config: AnalyticsConfig, since: date | None = None, until: date | None = None
+) -> Iterator[RunInputs]:
+    """A run over all days reads the state, to which new loads are added first. One over some days
+    has those days of the stored rollup, and a rollup by user of its own."""
+    state = refresh_user_state(spark, config) if since is None and until is None else None
+    if state is not None:
+        yield RunInputs(state.activity, state.activity, state.hours)
+        return
     rollup = days_between(refresh_rollup(spark, config), since, until)
     with run_rollup(rollup, config) as by_user:
-        metrics = _built(names, rollup, by_user, USER_METRICS, config)
-        saved = _save_all(metrics, config, on_empty)
-        return saved + _save_models(by_user, config, model_path)
+        yield RunInputs(by_user, rollup, rollup)
 
 
 def _built(
-    names, rollup: DataFrame, by_user: DataFrame, user_metrics: dict[str, Build], config: AnalyticsConfig
+    names, inputs: RunInputs, user_metrics: dict[str, Build], config: AnalyticsConfig
 ) -> dict[str, DataFrame]:
+    kinds = ((DAY_METRICS, inputs.by_day), (HOUR_METRICS, inputs.by_hour), (user_metrics, inputs.by_user))
     return {
-        name: TIME_METRICS[name](rollup, config)
-        if name in TIME_METRICS
-        else user_metrics[name](by_user, config)
+        name: next(metrics[name](frame, config) for metrics, frame in kinds if name in metrics)
         for name in names
     }
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmetrics.config import PURCHASE, AnalyticsConfig
@@ -21,21 +21,21 @@ from clickmetrics.operators.activity import (
     LAST_AT,
     PURCHASE_HOUR,
     as_activity,
+    merged_rollup,
     user_event_rollup,
 )
 from clickmetrics.schema import DAY_COLUMN, EVENT_COLUMNS, LOAD_COLUMN, STORED_ROLLUP
 from clickmetrics.sinks.events import drop_partitions
 from clickmetrics.sources.tables import (
-    FOLDED_TABLE,
+    Partition,
     current_table,
     hidden_partitions,
+    in_partitions,
     stored_partitions,
 )
 
 ROLLUP_TABLE = "user_event_rollup"
 
-Partition = tuple[str | None, str]
-
 
 def refresh_rollup(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
     """Bring the stored rollup up to date with the events, and return it.
@@ -59,20 +59,10 @@ def refresh_rollup(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfi
         """
     )
     there = set(stored_partitions(spark, table))
-    drop_partitions(spark, table, sorted(there - _visible(spark, config), key=str))
+    drop_partitions(spark, table, sorted(there - visible_parts(spark, config), key=str))
     new = new_events(spark, config)
     if new is not None:
-        rolled = (
-            as_stored_rows(new)
-            .groupBy("user_id", "event_type", PURCHASE_HOUR, DAY_COLUMN, LOAD_COLUMN)
-            .agg(
-                F.sum(EVENTS).alias(EVENTS),
-                F.sum(DATED_EVENTS).alias(DATED_EVENTS),
-                F.sum(AMOUNT).alias(AMOUNT),
-                F.min(FIRST_AT).alias(FIRST_AT),
-                F.max(LAST_AT).alias(LAST_AT),
-            )
-        )
+        rolled = merged_rollup(as_stored_rows(new))
         stored = rolled.select(*spark.table(table).columns)
         stored.hint("rebalance", DAY_COLUMN, LOAD_COLUMN).write.insertInto(table, overwrite=True)
     return current_table(spark, table)
@@ -84,11 +74,16 @@ def new_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig())
     rolled = set()
     if spark.catalog.tableExists(config.table(STORED_ROLLUP)):
         rolled = set(stored_partitions(spark, config.table(STORED_ROLLUP)))
-    new = _visible(spark, config) - rolled
-    if not new:
+    return events_of_partitions(spark, visible_parts(spark, config) - rolled, config)
+
+
+def events_of_partitions(
+    spark: SparkSession, partitions: set[Partition], config: AnalyticsConfig
+) -> DataFrame | None:
+    """Events of some partitions, None for no partitions."""
+    if not partitions:
         return None
-    events = current_table(spark, config.table(config.events_table))
-    return events.filter(_partition_key().isin([_key(*part) for part in sorted(new, key=str)]))
+    return current_table(spark, config.table(config.events_table)).filter(in_partitions(partitions))
 
 
 def as_stored_rows(events: DataFrame) -> DataFrame:
@@ -117,10 +112,10 @@ def current_activity(
         events = current_table(spark, config.table(config.events_table))
         return as_activity(events.select(*EVENT_COLUMNS) if new is None else new)
     there = set(stored_partitions(spark, config.table(STORED_ROLLUP)))
-    gone = there - _visible(spark, config)
+    gone = there - visible_parts(spark, config)
     stored = current_table(spark, config.table(STORED_ROLLUP))
     if gone:
-        stored = stored.filter(~_partition_key().isin([_key(*part) for part in sorted(gone, key=str)]))
+        stored = stored.filter(~F.coalesce(in_partitions(gone), F.lit(False)))
     stored = stored.select(*ACTIVITY_COLUMNS)
     return stored if new is None else stored.unionByName(as_activity(new).select(*ACTIVITY_COLUMNS))
 
@@ -158,10 +153,7 @@ def store_rollup(
 ) -> DataFrame:
     """Write the rollup of events or activity by user into ``table`` and return it."""
     spark = activity.sparkSession
-    buckets = config.rollup_buckets
-    if buckets is None:
-        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(least, -(-activity.count() // config.rollup_bucket_rows))
+    buckets = buckets_for(activity, config)
     (
         user_event_rollup(activity)
         .repartition(buckets, "user_id")
@@ -172,21 +164,17 @@ def store_rollup(
     return spark.table(table)
 
 
-def _visible(spark: SparkSession, config: AnalyticsConfig) -> set[Partition]:
+def buckets_for(activity: DataFrame, config: AnalyticsConfig) -> int:
+    """How many buckets activity by user is to be kept in."""
+    if config.rollup_buckets is not None:
+        return config.rollup_buckets
+    least = int(activity.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-activity.count() // config.rollup_bucket_rows))
+
+
+def visible_parts(spark: SparkSession, config: AnalyticsConfig) -> set[Partition]:
     """Partitions of the events that readers see."""
     table = config.table(config.events_table)
     if not spark.catalog.tableExists(table):
         return set()
-    stored = set(stored_partitions(spark, table))
-    if not spark.catalog.tableExists(config.table(FOLDED_TABLE)):
-        return stored
-    return stored - set(hidden_partitions(spark, config))
-
-
-def _partition_key() -> Column:
-    day = F.coalesce(F.col(DAY_COLUMN).cast("string"), F.lit(""))
-    return F.concat(day, F.lit("/"), F.col(LOAD_COLUMN))
-
-
-def _key(day: str | None, load: str) -> str:
-    return f"{day or ''}/{load}"
+    return set(stored_partitions(spark, table)) - set(hidden_partitions(spark, config))

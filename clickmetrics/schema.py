@@ -30,6 +30,11 @@ LOAD_COLUMN = "load_id"
 #: Table of the rollup that runs keep, partitioned like the events.
 STORED_ROLLUP = "event_rollup"
 
+#: Tables that hold what all stored events come to by user, see ``plans.user_state``: by user and
+#: type, by user, by hour, and the partitions that are in them, whose newest version is the valid one.
+STATE_TABLES = ("state_activity", "state_users", "state_hours")
+STATE_PARTS = "state_parts"
+
 #: Table property with the time zone in which the days of stored events were cut.
 DAY_ZONE_PROPERTY = "clickmetrics.day_zone"
 

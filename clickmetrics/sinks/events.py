@@ -11,17 +11,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.schema import DAY_COLUMN, DAY_ZONE_PROPERTY, EVENT_COLUMNS, LOAD_COLUMN, STORED_ROLLUP
+from clickmetrics.operators.activity import merged_rollup
+from clickmetrics.schema import (
+    DAY_COLUMN,
+    DAY_ZONE_PROPERTY,
+    EVENT_COLUMNS,
+    LOAD_COLUMN,
+    STATE_PARTS,
+    STORED_ROLLUP,
+)
 from clickmetrics.session import in_shared_folder
+from clickmetrics.sinks.metrics import drop_old_versions, new_version, save_metric, versions
 from clickmetrics.sources.tables import (
+    FOLDED_DAYS,
     FOLDED_PREFIX,
-    FOLDED_TABLE,
+    Partition,
     check_day_zone,
     current_table,
+    folded_days,
     hidden_partitions,
+    in_partitions,
     stored_partitions,
 )
 
+#: Loads that compactions have closed: source, and the number of the last closed load there.
+CLOSED_LOADS = "closed_loads"
+
 
 def create_events_table(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> None:
     """Create the events table if it does not exist yet.
@@ -94,9 +109,7 @@ def _by_day(placed: DataFrame) -> DataFrame:
     )
 
 
-def drop_partitions(
-    spark: SparkSession, table: str, partitions: list[tuple[str | None, str]]
-) -> None:
+def drop_partitions(spark: SparkSession, table: str, partitions: list[Partition]) -> None:
     """Drop partitions given as (day, load)."""
     if partitions:
         specs = ", ".join(
@@ -111,58 +124,136 @@ def _day_literal(day: str | None) -> str:
 
 
 def is_folded(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> bool:
-    folded = config.table(FOLDED_TABLE)
-    return spark.catalog.tableExists(folded) and not current_table(spark, folded).filter(
-        F.col("load") == load_id
-    ).isEmpty()
+    """Whether a load was closed by a compaction."""
+    if not spark.catalog.tableExists(config.table(CLOSED_LOADS)):
+        return False
+    source, number = _place(load_id)
+    closed = current_table(spark, config.table(CLOSED_LOADS))
+    return not closed.filter((F.col("source") == source) & (F.col("number") >= number)).isEmpty()
+
+
+def _place(load_id: str) -> tuple[str, int]:
+    """A load's source and its number there: a stream counts its batches, others are one load."""
+    batch = re.fullmatch(r"(.+-[0-9a-f]{32})-(\d{12})", load_id)
+    return (batch[1], int(batch[2])) if batch else (load_id, 0)
+
+
+def close_loads(spark: SparkSession, loads: list[str], config: AnalyticsConfig) -> None:
+    """Refuse these loads from now on. A stream's batches come in order, so the last one's number
+    stands for all before it."""
+    last: dict[str, int] = {}
+    for source, number in map(_place, loads):
+        last[source] = max(last.get(source, 0), number)
+    closed = spark.createDataFrame(list(last.items()), "source string, number bigint")
+    if spark.catalog.tableExists(config.table(CLOSED_LOADS)):
+        closed = current_table(spark, config.table(CLOSED_LOADS)).unionByName(closed)
+    closed = closed.groupBy("source").agg(F.max("number").alias("number"))
+    save_metric(closed, CLOSED_LOADS, config, "replace")
 
 
 def forget_rollup(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> None:
-    """Drop what is rolled up of a load, so that the next run reads the load anew."""
+    """Drop what is rolled up of a load, so that the next run reads the load anew. What was
+    added up by user cannot be taken out of there: it is built again from the rollup."""
     rollup = config.table(STORED_ROLLUP)
     if spark.catalog.tableExists(rollup):
         drop_partitions(spark, rollup, stored_partitions(spark, rollup, load_id))
+    for parts in versions(spark, config, STATE_PARTS):
+        if not spark.table(config.table(parts)).filter(F.col(LOAD_COLUMN) == load_id).isEmpty():
+            spark.sql(f"DROP TABLE IF EXISTS {config.table(parts)}")
 
 
 def compact_events(
     spark: SparkSession, before: date, config: AnalyticsConfig = AnalyticsConfig()
 ) -> int:
-    """Fold the loads of each day before ``before`` into one partition per day; returns the days.
+    """Fold the loads of each day before ``before``, and those without a day, into one partition
+    each; returns how many such partitions were written.
 
     Streams add a partition per batch and day; folding closed days bounds how many there are. The
-    folded rows are written to a partition that readers do not see, then announced together with
-    the loads they came from in one append, which is the moment readers change over; only then the
-    old partitions are dropped. A compaction that breaks off loses and doubles nothing, and the
-    next one cleans up. Loads that were folded are closed: a stream batch that is replayed
-    counts as stored, any other load under such an id is refused. Do not load into the days
-    while they are folded.
+    partitions to fold are listed once and just these are read, so a load that lands meanwhile stays
+    as it is. Their rows are written to a partition that readers do not see, the loads are closed,
+    and a new version of ``folded_days`` is the moment readers change over; only then the old
+    partitions are dropped. A compaction that breaks off loses and doubles nothing, and the
+    next one cleans up. Of closed loads a stream batch that is replayed counts as stored, any
+    other is refused. Do not replace a load while its days are folded, and run one compaction at a time.
+
+    What is rolled up of the folded loads is folded with them, so that no run reads them again.
     """
-    table, folded_table = config.table(config.events_table), config.table(FOLDED_TABLE)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {folded_table} (day DATE, load STRING, into STRING) USING parquet"
-    )
+    table = config.table(config.events_table)
     drop_partitions(spark, table, hidden_partitions(spark, config))
     loads_of = defaultdict(list)
     for day, load in stored_partitions(spark, table):
-        if day is not None and day < before.isoformat():
+        if day is None or day < before.isoformat():
             loads_of[day].append(load)
     many = {day: loads for day, loads in loads_of.items() if len(loads) > 1}
     if not many:
         return 0
     into = f"{FOLDED_PREFIX}{uuid.uuid4().hex}"
+    old = [(day, load) for day, loads in many.items() for load in loads]
     rows = (
         current_table(spark, table)
-        .filter(F.col(DAY_COLUMN).isin([date.fromisoformat(day) for day in many]))
+        .filter(in_partitions(old))
         .select(*EVENT_COLUMNS, DAY_COLUMN, F.lit(into).alias(LOAD_COLUMN))
     )
     _by_day(rows).write.insertInto(table, overwrite=True)
-    announced = [(date.fromisoformat(day), load, into) for day, loads in many.items() for load in loads]
-    spark.createDataFrame(announced, "day date, load string, into string").coalesce(1).write.insertInto(
-        folded_table
-    )
-    old = [(day, load) for day, loads in many.items() for load in loads]
+    fold_rollup(spark, many, into, config)
+    close_loads(spark, [load for _, load in old if not load.startswith(FOLDED_PREFIX)], config)
+    announce(spark, many, into, config)
     drop_partitions(spark, table, old)
-    rollup = config.table(STORED_ROLLUP)
-    if spark.catalog.tableExists(rollup):
-        drop_partitions(spark, rollup, old)
+    if spark.catalog.tableExists(config.table(STORED_ROLLUP)):
+        drop_partitions(spark, config.table(STORED_ROLLUP), old)
+    fold_state_parts(spark, many, into, config)
+    announce(spark, {day: [] for day in many}, into, config)
     return len(many)
+
+
+LoadsOfDays = dict[str | None, list[str]]
+
+
+def announce(spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig) -> None:
+    """Turn readers to the folded rows of days, and away from loads that are not dropped yet."""
+    rows = [(row.day, row.into, row.pending) for row in folded_days(spark, config) if row.day not in folded]
+    rows += [(day, into, loads) for day, loads in folded.items()]
+    frame = spark.createDataFrame(rows, "day string, into string, pending array<string>")
+    save_metric(
+        frame.withColumn("day", F.col("day").cast("date")).coalesce(1), FOLDED_DAYS, config, "replace"
+    )
+
+
+def fold_rollup(spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig) -> None:
+    """Roll folded loads up together, of days of which each load is rolled up. It is not read
+    before the folded partition is announced."""
+    rollup = config.table(STORED_ROLLUP)
+    if not spark.catalog.tableExists(rollup):
+        return
+    there = set(stored_partitions(spark, rollup))
+    whole = [(day, load) for day, loads in folded.items() for load in loads if {(day, x) for x in loads} <= there]
+    if whole:
+        stored = current_table(spark, rollup).filter(in_partitions(whole))
+        merged = merged_rollup(stored.withColumn(LOAD_COLUMN, F.lit(into))).select(*spark.table(rollup).columns)
+        merged.hint("rebalance", DAY_COLUMN).write.insertInto(rollup, overwrite=True)
+
+
+def fold_state_parts(spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig) -> None:
+    """Tell the state by user that it has the folded partitions in place of the loads' own, where it
+    has all of a day's. Otherwise it is found to hold what is gone, and is built again."""
+    current = versions(spark, config, STATE_PARTS)[-1:]
+    if not current:
+        return
+    parts = spark.table(config.table(current[0])).withColumn("day", F.col(DAY_COLUMN).cast("string")).collect()
+    has = {(row.day, row[LOAD_COLUMN]) for row in parts}
+    for day, loads in folded.items():
+        own = {(day, load) for load in loads}
+        if own <= has:
+            has = has - own | {(day, into)}
+    save_state_parts(spark, has, parts[0].version, config)
+
+
+def save_state_parts(
+    spark: SparkSession, parts: set[Partition], version: str, config: AnalyticsConfig
+) -> None:
+    """Make a version of the state by user the valid one, with the partitions that it holds."""
+    rows = [(day, load, version) for day, load in sorted(parts, key=str)]
+    frame = spark.createDataFrame(rows, f"{DAY_COLUMN} string, {LOAD_COLUMN} string, version string")
+    frame = frame.withColumn(DAY_COLUMN, F.col(DAY_COLUMN).cast("date")).coalesce(1)
+    frame.write.format("parquet").saveAsTable(config.table(new_version(STATE_PARTS)))
+    drop_old_versions(spark, config, STATE_PARTS)

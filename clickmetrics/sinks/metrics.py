@@ -30,7 +30,7 @@ def save_metric(
     """
     spark = metric.sparkSession
     target = config.table(name)
-    version = f"{name}{VERSION_MARK}{time.time_ns():020d}"
+    version = new_version(name)
     metric.write.format("parquet").saveAsTable(config.table(version))
     if on_empty == "keep" and spark.table(config.table(version)).isEmpty():
         log.warning("no rows for %s, left as it was", target)
@@ -40,13 +40,23 @@ def save_metric(
         # As stored before metrics had versions.
         spark.sql(f"ALTER TABLE {target} RENAME TO {config.table(f'{name}{VERSION_MARK}{0:020d}')}")
     spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {config.table(version)}")
-    for old in _versions(spark, config, name)[:-2]:
-        spark.sql(f"DROP TABLE IF EXISTS {config.table(old)}")
+    drop_old_versions(spark, config, name)
     return True
 
 
-def _versions(spark: SparkSession, config: AnalyticsConfig, name: str) -> list[str]:
-    """Tables that hold versions of a metric, the oldest first."""
+def drop_old_versions(spark: SparkSession, config: AnalyticsConfig, name: str) -> None:
+    """Drop all versions but the last two."""
+    for old in versions(spark, config, name)[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {config.table(old)}")
+
+
+def new_version(name: str) -> str:
+    """A name for the next version of a table, after all earlier ones in order."""
+    return f"{name}{VERSION_MARK}{time.time_ns():020d}"
+
+
+def versions(spark: SparkSession, config: AnalyticsConfig, name: str) -> list[str]:
+    """Tables that hold versions of a metric or state, the oldest first."""
     rows = spark.sql(f"SHOW TABLES IN {config.database} LIKE '{name}{VERSION_MARK}*'").collect()
     return sorted(row.tableName for row in rows)
 

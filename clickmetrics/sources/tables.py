@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmetrics.config import AnalyticsConfig
 from clickmetrics.schema import DAY_COLUMN, DAY_ZONE_PROPERTY, EVENT_COLUMNS, LOAD_COLUMN
 
-#: Loads that a compaction has folded together: day, load, and the load that holds their rows now.
-FOLDED_TABLE = "folded_loads"
+#: A day and a load, which name a partition; the day is None for events without a time.
+Partition = tuple[str | None, str]
+
+#: A row for each day that was compacted, see ``folded_days``.
+FOLDED_DAYS = "folded_days"
 
 
 def use_events(events: DataFrame, name: str = "events") -> DataFrame:
@@ -96,39 +101,69 @@ def check_day_zone(spark: SparkSession, table: str) -> None:
 
 def visible_partitions(stored: DataFrame, config: AnalyticsConfig) -> DataFrame:
     """Leave out partitions that a compaction has folded into another one and not dropped yet, and
-    those that one has written and not announced. There are none but during a compaction or
-    after one that broke off, so what is compared is few rows."""
-    spark = stored.sparkSession
-    folded_table = config.table(FOLDED_TABLE)
-    if not spark.catalog.tableExists(folded_table):
-        return stored
-    hidden = hidden_partitions(spark, config)
-    for day, load in hidden:
-        here = F.col(DAY_COLUMN).eqNullSafe(F.lit(day).cast("date")) & (F.col(LOAD_COLUMN) == load)
-        stored = stored.filter(~here)
-    return stored
-
-
-def hidden_partitions(
-    spark: SparkSession, config: AnalyticsConfig
-) -> list[tuple[str | None, str]]:
+    those that one has written and not announced. Told by the partition columns and one row a
+    day, without listing partitions."""
+    days = folded_days(stored.sparkSession, config)
+    announced = sorted({row.into for row in days})
+    stored = stored.filter(~F.col(LOAD_COLUMN).startswith(FOLDED_PREFIX) | F.col(LOAD_COLUMN).isin(announced))
+    pending = [(row.day, load) for row in days for load in row.pending]
+    return stored.filter(~F.coalesce(in_partitions(pending), F.lit(False))) if pending else stored
+
+
+def folded_days(spark: SparkSession, config: AnalyticsConfig) -> list[Row]:
+    """One row for each day that was compacted: day, the load that holds its folded rows, and the loads
+    that are in there and may not have been dropped yet."""
+    if not spark.catalog.tableExists(config.table(FOLDED_DAYS)):
+        return []
+    days = current_table(spark, config.table(FOLDED_DAYS))
+    return days.select(F.col("day").cast("string").alias("day"), "into", "pending").collect()
+
+
+def hidden_partitions(spark: SparkSession, config: AnalyticsConfig) -> list[Partition]:
     """(day, load) of the stored partitions that readers must not see."""
-    written = {(day, load) for day, load in stored_partitions(spark, config.table(config.events_table))}
-    folded = current_table(spark, config.table(FOLDED_TABLE))
-    rows = folded.select(F.col("day").cast("string"), "load", "into").collect()
-    announced = {(row.day, row.into) for row in rows}
-    gone = {(row.day, row.load) for row in rows}
-    unannounced = {
-        (day, load) for day, load in written if load.startswith(FOLDED_PREFIX) and (day, load) not in announced
-    }
-    return sorted((written & gone) | unannounced, key=str)
+    of_day = {row.day: row for row in folded_days(spark, config)}
+
+    def hidden(day: str | None, load: str) -> bool:
+        row = of_day.get(day)
+        if row is not None and load in row.pending:
+            return True
+        return load.startswith(FOLDED_PREFIX) and (row is None or load != row.into)
+
+    stored = stored_partitions(spark, config.table(config.events_table))
+    return sorted((part for part in stored if hidden(*part)), key=str)
+
+
+def in_partitions(partitions: Iterable[Partition]) -> Column:
+    """Whether a row is in one of the partitions given as (day, load).
+
+    Plain comparisons of the partition columns, which prune partitions in the catalog. Days with the
+    same loads share a comparison, and the tree of comparisons is balanced.
+    """
+    loads_of: dict[str | None, set[str]] = defaultdict(set)
+    for day, load in partitions:
+        loads_of[day].add(load)
+    days_of: dict[frozenset[str], list[str | None]] = defaultdict(list)
+    for day, loads in loads_of.items():
+        days_of[frozenset(loads)].append(day)
+
+    def one(loads: frozenset[str], days: list[str | None]) -> Column:
+        known = [date.fromisoformat(day) for day in sorted(day for day in days if day is not None)]
+        day = F.col(DAY_COLUMN).isin(known) if known else F.lit(False)
+        if None in days:
+            day = F.col(DAY_COLUMN).isNull() | day if known else F.col(DAY_COLUMN).isNull()
+        return day & F.col(LOAD_COLUMN).isin(sorted(loads))
+
+    terms = [one(loads, days) for loads, days in days_of.items()] or [F.lit(False)]
+    while len(terms) > 1:
+        terms = [a | b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) // 2 * 2 :]
+    return terms[0]
 
 
 #: How loads are named that a compaction writes.
 FOLDED_PREFIX = "folded."
 
 
-def stored_partitions(spark: SparkSession, table: str, load: str | None = None) -> list[tuple[str | None, str]]:
+def stored_partitions(spark: SparkSession, table: str, load: str | None = None) -> list[Partition]:
     """(day, load) of a table's partitions; the day is null for events without a time."""
     only = "" if load is None else f" PARTITION ({LOAD_COLUMN} = '{load}')"
     found = []

@@ -22,6 +22,7 @@ from clickmetrics.sinks import (
     append_csv,
     append_messages,
     compact_events,
+    create_events_table,
     load_events,
     save_metric,
 )
@@ -40,7 +41,7 @@ from clickmetrics.sources import (
     split_parsed,
     use_events,
 )
-from clickmetrics.sources.tables import stored_partitions
+from clickmetrics.sources.tables import folded_days, in_partitions, stored_partitions
 from conftest import ROOT
 from fixtures import EDGE_EVENTS, at, events_of, value_set, values
 
@@ -364,6 +365,77 @@ def test_a_compaction_that_breaks_off_doubles_and_loses_nothing(
     assert len(stored_partitions(spark, config.table("events"))) == 3
 
 
+def test_a_load_that_lands_during_a_compaction_is_stored_once(spark, events, config, monkeypatch):
+    for user in ("u1", "u2", "u3"):
+        load_events(events.filter(F.col("user_id") == user), f"load-{user}", config)
+    listed, late = event_sink.stored_partitions, []
+
+    def list_then_load(session, table, load=None):
+        found = listed(session, table, load)
+        if load is None and not late:
+            late.append(True)
+            load_events(events.filter("user_id IN ('u4', 'u5')"), "late", config)
+        return found
+
+    monkeypatch.setattr(event_sink, "stored_partitions", list_then_load)
+    assert compact_events(spark, date(2024, 1, 4), config) > 0
+    assert late and sorted(values(events_table(spark, config)), key=str) == sorted(EDGE_EVENTS, key=str)
+    assert ("2024-01-03", "late") in listed(spark, config.table("events"))
+
+
+def test_events_without_a_day_are_folded_too(spark, events, config):
+    undated = events.withColumn("timestamp", F.lit(None).cast("timestamp"))
+    for load in ("a", "b", "c"):
+        load_events(undated, load, config)
+    assert compact_events(spark, date(2024, 1, 1), config) == 1
+    ((day, load),) = stored_partitions(spark, config.table("events"))
+    assert day is None and load.startswith("folded.")
+    assert events_table(spark, config).count() == 3 * len(EDGE_EVENTS)
+    load_events(undated, "d", config)
+    assert compact_events(spark, date(2024, 1, 1), config) == 1
+    assert events_table(spark, config).count() == 4 * len(EDGE_EVENTS)
+
+
+def many_loads(spark, config, days, loads):
+    """A row for each of many days and loads, written at once."""
+    create_events_table(spark, config)
+    spark.range(days * loads).selectExpr(
+        "cast(id as string)", "'login'", "0.0", "timestamp'2024-01-01' + make_interval(0, 0, 0, id % {0})".format(days),
+        "date_add(date'2024-01-01', cast(id % {0} as int))".format(days), "concat('load-', id div {0})".format(days),
+    ).repartition(8).write.insertInto(config.table("events"), overwrite=True)
+
+
+def test_the_ledger_has_a_row_a_day_after_many_loads(spark, events, config):
+    many_loads(spark, config, 2, 500)
+    assert compact_events(spark, date(2024, 2, 1), config) == 2
+    assert [(row.day, row.pending) for row in sorted(folded_days(spark, config))] == [
+        ("2024-01-01", []), ("2024-01-02", [])
+    ]
+    assert events_table(spark, config).count() == 1000
+    with pytest.raises(ClosedLoadError):
+        load_events(events, "load-77", config)
+    load_events(events, "load-500", config)
+    assert compact_events(spark, date(2024, 2, 1), config) == 2
+    assert len(folded_days(spark, config)) == 2
+    assert events_table(spark, config).count() == 1000 + len(EDGE_EVENTS)
+
+
+def test_partitions_are_chosen_in_the_catalog(spark, config):
+    many_loads(spark, config, 100, 100)
+    table = spark.table(config.table("events"))
+    some = [(f"2024-01-{d:02d}", f"load-{n}") for d in range(1, 29) for n in range(d % 3, 100, 7 + d % 2)]
+    chosen = table.filter(in_partitions(some))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert "event_date" in filters and "load_id" in filters and "concat" not in plan
+    assert len(chosen.inputFiles()) == len(some) == chosen.count()
+    # Days with the same loads share a comparison.
+    cross = [(f"2024-01-{d:02d}", f"load-{n}") for d in range(1, 29) for n in range(100)]
+    assert str(in_partitions(cross)).count("and(") == 1
+    assert table.filter(in_partitions(cross)).count() == 2800
+    assert table.filter(in_partitions([])).count() == 0
+
+
 def test_mapped_types_filter_in_the_scan(spark, sf_dir):
     mapping = EventMapping(timestamp="ts", amount="value", type_names={"signup": "login"})
     source = spark.read.parquet(f"{sf_dir}/events.parquet")

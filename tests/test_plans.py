@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -22,7 +23,9 @@ from clickmetrics.plans import (
     run_warehouse_profile,
     verify_events,
 )
+from clickmetrics.plans import current_totals, refresh_user_state, stored_state
 from clickmetrics.plans.rollup import new_events
+from clickmetrics.plans.user_state import merged_state
 from clickmetrics.schema import METRIC_SCHEMAS, EventSchemaError
 from clickmetrics.sinks import (
     append_csv,
@@ -33,6 +36,7 @@ from clickmetrics.sinks import (
     save_metric,
 )
 from clickmetrics.sources import events_table
+from clickmetrics.sources.tables import in_partitions, stored_partitions
 from fixtures import EDGE_EVENTS, events_of, value_set, values
 
 
@@ -119,6 +123,105 @@ def test_the_rollup_follows_a_compaction(spark, events, config):
     assert value_set(op.kpi_global(refresh_rollup(spark, config))) == expected
 
 
+def state_files(spark, config):
+    """What a run with something new reads: files of the state, and of the rollup."""
+    refresh_rollup(spark, config)
+    state = stored_state(spark, config)
+    rolled = set(stored_partitions(spark, config.table("event_rollup")))
+    new = spark.table(config.table("event_rollup")).filter(in_partitions(rolled - state.parts))
+    activity, hours = merged_state(state, new)
+    return activity, {*activity.inputFiles(), *hours.inputFiles()}
+
+
+def test_a_run_reads_the_state_and_the_new_load_only(spark, events, config):
+    load_events(events.filter("user_id <> 'u1'"), "first", config)
+    run_warehouse_profile(spark, config)
+    version = stored_state(spark, config).activity.inputFiles()
+    run_local_profile(spark, config)
+    assert stored_state(spark, config).activity.inputFiles() == version
+    load_events(events.filter("user_id = 'u1' OR user_id = 'u2'"), "second", config)
+    activity, files = state_files(spark, config)
+    rollup = {name for name in files if "event_rollup" in name}
+    assert rollup and all("load_id=second" in name for name in rollup)
+    assert all("/state_" in name for name in files - rollup)
+    # The new rows are dealt to the state's buckets, the state's own rows are not shuffled.
+    plan = activity._jdf.queryExecution().executedPlan().toString()
+    state_side = plan[plan.index("Union") : plan.index("Exchange")]
+    assert "state_activity" in state_side and "Bucketed: true" in state_side
+    assert plan.index("Union") < plan.index("Exchange")
+
+
+def assert_tables_like_a_recompute(spark, config):
+    stored = events_table(spark, config)
+    full = {
+        "ltv_detail": op.ltv_detail(stored),
+        "funnel_volume": op.funnel_volume(stored),
+        "user_daily_activity": op.user_daily_activity(stored),
+        "revenue_trend": op.revenue_hourly(stored),
+        "churn_metrics": op.churn_risk(stored),
+        "cohort_metrics_keep_null_day": op.cohort_daily(stored, "keep_null_day"),
+    }
+    run_metrics(spark, list(full), config, "replace")
+    for name, frame in full.items():
+        assert value_set(spark.table(config.table(name))) == value_set(frame), name
+    assert value_set(op.kpi_global(current_totals(spark, config))) == value_set(op.kpi_global(stored))
+
+
+def test_the_state_follows_loads_replacements_and_compactions(spark, events, config):
+    undated = events.withColumn("timestamp", F.lit(None).cast("timestamp"))
+    load_events(events, "a", config)
+    assert_tables_like_a_recompute(spark, config)
+    load_events(events.filter("user_id IN ('u1', 'u4')"), "b", config)
+    assert value_set(op.kpi_global(current_totals(spark, config))) == value_set(
+        op.kpi_global(events_table(spark, config))
+    )
+    assert_tables_like_a_recompute(spark, config)
+    # What a load adds can be taken back, by building the state again.
+    load_events(events.filter("user_id = 'u3'"), "a", config)
+    assert_tables_like_a_recompute(spark, config)
+    load_events(undated, "c", config)
+    load_events(undated, "d", config)
+    assert_tables_like_a_recompute(spark, config)
+    # A compaction changes neither the state nor what has to be read.
+    files = stored_state(spark, config).activity.inputFiles()
+    assert compact_events(spark, date(2024, 2, 1), config) >= 2
+    assert new_events(spark, config) is None
+    assert_tables_like_a_recompute(spark, config)
+    assert stored_state(spark, config).activity.inputFiles() == files
+
+
+def test_the_state_is_built_again_if_part_of_a_fold_was_not_in_it(spark, events, config):
+    load_events(events, "a", config)
+    run_metrics(spark, ["churn_metrics"], config)
+    load_events(events, "b", config)
+    compact_events(spark, date(2024, 2, 1), config)
+    assert value_set(op.kpi_global(current_totals(spark, config))) == value_set(
+        op.kpi_global(events_table(spark, config))
+    )
+    assert_tables_like_a_recompute(spark, config)
+
+
+def test_a_state_that_outgrows_its_buckets_gets_more(spark, events, config):
+    small = replace(config, rollup_bucket_rows=1)
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    try:
+        load_events(events, "a", config)
+        assert refresh_user_state(spark, config).buckets == 2
+        load_events(events.filter("user_id <> 'u1'"), "b", small)
+        assert refresh_user_state(spark, small).buckets > 4
+        assert_tables_like_a_recompute(spark, small)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+def test_a_dashboard_page_reads_a_row_a_user(spark, events, config):
+    load_events(events, "a", config)
+    run_local_profile(spark, config)
+    totals = current_totals(spark, config)
+    assert totals.count() == events.select("user_id").distinct().count()
+    assert all("/state_users" in name for name in totals.inputFiles())
+
+
 def test_runs_over_a_range_of_days(spark, events, config):
     load_events(events, "a", config)
     run_metrics(spark, ["funnel_observed"], config, since=date(2024, 1, 2), until=date(2024, 1, 3))

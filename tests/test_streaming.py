@@ -10,6 +10,7 @@ from datetime import date
 import pytest
 
 from clickmetrics import AnalyticsConfig
+from clickmetrics.sources.tables import stored_partitions
 from clickmetrics.sinks import append_csv, append_messages, compact_events
 from clickmetrics.sources import csv_events, events_table
 from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv, quarantined
@@ -191,7 +192,12 @@ def test_a_replayed_batch_is_stored_once_after_compaction(spark, events, config,
     append_messages(events.repartition(4), str(landing))
     drain(spark, landing, tmp_path, config, max_files_per_batch=1)
     compact_events(spark, date(2024, 1, 4), config)
-    loads = {row.load for row in spark.table(config.table("folded_loads")).collect()}
-    for load in loads:
-        load_batch(events, load, config)
+    stored = {load for _, load in stored_partitions(spark, config.table("events"))}
+    assert stored and all(load.startswith("folded.") for load in stored)
+    (source,) = {row.source for row in spark.table(config.table("closed_loads")).collect()}
+    for batch in range(4):
+        load_batch(events, f"{source}-{batch:012d}", config)
     assert value_set(events_table(spark, config)) == set(EDGE_EVENTS)
+    # A stream has one row, whatever the number of its batches, and its next batch is not closed.
+    load_batch(events, f"{source}-{4:012d}", config)
+    assert events_table(spark, config).count() == 2 * len(EDGE_EVENTS)

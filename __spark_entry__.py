@@ -165,11 +165,18 @@ def events_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = given_events(spark, sf_dir)
     for event_type in FUNNEL_STAGES:
         load_events(events.filter(F.col("event_type") == event_type), event_type, config)
-    load_events(events.filter(~F.col("event_type").isin(*FUNNEL_STAGES)), "others", config)
+    known = F.coalesce(F.col("event_type").isin(*FUNNEL_STAGES), F.lit(False))
+    load_events(events.filter(~known), "others", config)
     compact_events(spark, date(2024, 1, 30), config)
     return events_table(spark, config)
 
 
+def _two_loads(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events up to a day, and the others, those without a time among them."""
+    earlier = F.coalesce(F.col("timestamp") < "2024-01-20", F.lit(False))
+    return events.filter(earlier), events.filter(~earlier)
+
+
 def _profile(
     run: Callable[[SparkSession, AnalyticsConfig], list[str]], name: str
 ) -> Callable[[SparkSession, str], DataFrame]:
@@ -179,9 +186,10 @@ def _profile(
     def tables_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         config, _ = _scratch_database(spark, name)
         events = given_events(spark, sf_dir)
-        load_events(events.filter("timestamp < '2024-01-20'"), "earlier", config)
+        earlier, later = _two_loads(events)
+        load_events(earlier, "earlier", config)
         run(spark, config)
-        load_events(events.filter("timestamp >= '2024-01-20'"), "later", config)
+        load_events(later, "later", config)
         shown = []
         for table in run(spark, config):
             rows = spark.table(config.table(table))
@@ -209,9 +217,10 @@ def dashboard_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All parts of the dashboard after a local run, figures as text; a load came in since."""
     config, _ = _scratch_database(spark, "dashboard_parts")
     events = given_events(spark, sf_dir)
-    load_events(events.filter("timestamp < '2024-01-20'"), "earlier", config)
+    earlier, later = _two_loads(events)
+    load_events(earlier, "earlier", config)
     run_local_profile(spark, config)
-    load_events(events.filter("timestamp >= '2024-01-20'"), "later", config)
+    load_events(later, "later", config)
     shown = []
     for part, frame in dashboard_snapshot(spark, config).items():
         if part == "segments":
@@ -462,6 +471,75 @@ GROUP BY 1"""
 _FUNNEL_USERS = """
 SELECT event_type AS stage, COUNT(DISTINCT user_id) AS user_count FROM log GROUP BY event_type"""
 
+# K-means from the same stated start: three means drawn by hash races with ten seeds, moved until they
+# stay, the best of the ten, segments in order of spend. Spend counts by millionths.
+_SEGMENTS = f"""
+WITH RECURSIVE features AS ({_FEATURES}),
+points AS (
+  SELECT frequency AS f, CAST(round(coalesce(monetary, 0) * 1000000) AS BIGINT) AS m,
+         COUNT(*) AS w, COUNT(monetary) AS paid
+  FROM features GROUP BY ALL),
+spreads AS (
+  SELECT CASE WHEN vf = 0 THEN 1 ELSE sqrt(vf) END AS f, CASE WHEN vm = 0 THEN 1 ELSE sqrt(vm) END AS m
+  FROM (SELECT CAST(n * ff - sf * sf AS DOUBLE) / CAST(n * n AS DOUBLE) AS vf,
+               CAST(n * mm - sm * sm AS DOUBLE) / CAST(n * n AS DOUBLE) AS vm
+        FROM (SELECT SUM(w) AS n, SUM(f * w) AS sf, SUM(m * w) AS sm, SUM(f::HUGEINT * f * w) AS ff,
+                     SUM(m::HUGEINT * m * w) AS mm FROM points))),
+draws AS (
+  SELECT seed, 0 AS i, CAST([] AS STRUCT(f DOUBLE, m DOUBLE)[]) AS means
+  FROM (SELECT unnest(range(42, 52)) AS seed)
+  UNION ALL
+  SELECT seed, i + 1, list_append(means, arg_min({{'f': f, 'm': m}}, -ln(uniform) / rate) FILTER (rate > 0))
+  FROM (
+    SELECT seed, i, means, CAST(p.f AS DOUBLE) AS f, CAST(p.m AS DOUBLE) AS m,
+           (CAST('0x' || substr(md5(concat_ws(':', seed, i, p.f, p.m)), 1, 13) AS BIGINT) + 1) / 2.0 ** 52
+             AS uniform,
+           p.w * CASE WHEN i = 0 THEN 1 ELSE list_min(list_transform(means, lambda c:
+             ((p.f - c.f) / s.f) * ((p.f - c.f) / s.f) + ((p.m - c.m) / s.m) * ((p.m - c.m) / s.m))) END AS rate
+    FROM draws, points p, spreads s WHERE i < 3)
+  GROUP BY seed, i, means),
+moves AS (
+  SELECT seed, 0 AS step, means, CAST(NULL AS STRUCT(f DOUBLE, m DOUBLE)[]) AS before FROM draws WHERE i = 3
+  UNION ALL
+  SELECT seed, step + 1,
+         list_transform([1, 2, 3], lambda j: CASE WHEN sums[j].w > 0
+           THEN {{'f': sums[j].f::DOUBLE / sums[j].w, 'm': sums[j].m::DOUBLE / sums[j].w}} ELSE means[j] END),
+         means
+  FROM (
+    SELECT seed, step, means, [
+      {{'w': SUM(w) FILTER (c = 1), 'f': SUM(f * w) FILTER (c = 1), 'm': SUM(m * w) FILTER (c = 1)}},
+      {{'w': SUM(w) FILTER (c = 2), 'f': SUM(f * w) FILTER (c = 2), 'm': SUM(m * w) FILTER (c = 2)}},
+      {{'w': SUM(w) FILTER (c = 3), 'f': SUM(f * w) FILTER (c = 3), 'm': SUM(m * w) FILTER (c = 3)}}] AS sums
+    FROM (
+      SELECT seed, step, means, f, m, w, list_position(distances, list_min(distances)) AS c
+      FROM (
+        SELECT seed, step, means, p.f, p.m, p.w, list_transform(means, lambda c:
+          ((p.f - c.f) / s.f) * ((p.f - c.f) / s.f) + ((p.m - c.m) / s.m) * ((p.m - c.m) / s.m)) AS distances
+        FROM moves, points p, spreads s WHERE means IS DISTINCT FROM before AND step < 300))
+    GROUP BY seed, step, means)),
+placed AS (
+  SELECT seed, f, m, w, paid, list_position(distances, list_min(distances)) AS c
+  FROM (
+    SELECT seed, p.*, list_transform(means, lambda c:
+      ((p.f - c.f) / s.f) * ((p.f - c.f) / s.f) + ((p.m - c.m) / s.m) * ((p.m - c.m) / s.m)) AS distances
+    FROM (SELECT seed, arg_max(means, step) AS means FROM moves GROUP BY seed), points p, spreads s)),
+clusters AS (
+  SELECT seed, c, SUM(w) AS w, SUM(f * w) AS f, SUM(m * w) AS m, SUM(paid) AS paid FROM placed GROUP BY ALL),
+best AS (
+  SELECT seed FROM clusters, spreads s GROUP BY seed
+  ORDER BY SUM(((clusters.f / w / s.f) ** 2 + (clusters.m / w / s.m) ** 2) * w) DESC, seed LIMIT 1),
+ranked AS (
+  SELECT c, row_number() OVER (ORDER BY paid = 0, m::DOUBLE / nullif(paid, 0), f::DOUBLE / w) AS rank
+  FROM clusters WHERE seed = (SELECT seed FROM best)),
+segments AS (
+  SELECT u.user_id, u.frequency, u.monetary, CAST(rank - 1 AS INTEGER) AS segment_id,
+         ['Low Value', 'Medium Value', 'High Value'][rank] AS segment_label
+  FROM features u
+  JOIN placed p ON p.seed = (SELECT seed FROM best) AND p.f = u.frequency
+    AND p.m = CAST(round(coalesce(u.monetary, 0) * 1000000) AS BIGINT)
+  JOIN ranked USING (c))
+"""
+
 # What a proper K-means result over all users shows; see segment_check.
 _SEGMENT_CHECK = f"""
 SELECT COUNT(*) AS users, CAST(3 AS BIGINT) AS segments, round(SUM(monetary), 2) AS spend,
@@ -597,6 +675,10 @@ FROM log GROUP BY 1""",
             "ltv_detail", "retention_metrics", "cohort_metrics_keep_null_day", "funnel_observed"
         ),
         "dashboard_parts": _dashboard_sql(),
+        "customer_segments": f"SELECT * FROM ({_SEGMENTS} SELECT * FROM segments)",
+        "segment_distribution": f"""
+SELECT segment_label AS label, COUNT(user_id) AS count
+FROM ({_SEGMENTS} SELECT * FROM segments) GROUP BY 1""",
         "segment_check": _SEGMENT_CHECK,
         "segment_model_reload": (
             f"SELECT user_id, frequency, monetary, TRUE AS same_label FROM ({_FEATURES})"

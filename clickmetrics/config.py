@@ -35,13 +35,7 @@ class AnalyticsConfig:
     segment_labels: tuple[str, ...] = SEGMENT_LABELS
     segment_seed: int = 42
     segment_starts: int = 10
-    segment_parallelism: int = 4
     segment_max_iterations: int = 300
-    segment_tolerance: float = 1e-4
-
-    # Partitions that users are dealt over for training. A number of its own, so that the
-    # same users give the same segments on any cluster; raise it with the number of users.
-    segment_partitions: int = 8
 
     top_customers: int = 5
 

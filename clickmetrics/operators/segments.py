@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import logging
+import math
+import time
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +20,11 @@ log = logging.getLogger(__name__)
 
 FEATURES = ("frequency", "monetary")
 WEIGHT = "weight"
+MILLION = 1_000_000.0
+MODEL_SCHEMA = (
+    "segment_id int, label string, frequency double, spend double, frequency_spread double, "
+    "spend_spread double, cost double"
+)
 
 
 def segment_features(events: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
@@ -51,33 +54,53 @@ def segment_features_scaled(features: DataFrame, digits: int | None = None) -> D
     return filled.select("user_id", *map(scaled, FEATURES))
 
 
+@dataclass(frozen=True)
+class Center:
+    """The mean of a segment, spend in millionths."""
+
+    segment_id: int
+    label: str | None
+    frequency: float
+    spend: float
+
+
 @dataclass(frozen=True)
 class SegmentModel:
-    """A fitted scaler and clusterer with the label of each cluster; scores new users too."""
+    """Fitted centers in order of spend, and the deviations that distances are measured in; scores new
+    users too. ``cost`` is the sum of squared distances of the users it was fitted to."""
 
-    pipeline: PipelineModel
-    labels: dict[int, str | None]
+    centers: tuple[Center, ...]
+    spreads: tuple[float, float]
+    cost: float
 
     def transform(self, features: DataFrame) -> DataFrame:
         """Features with ``segment_id`` and ``segment_label``; ``monetary`` stays as given."""
-        scored = self.pipeline.transform(features)
-        return scored.select(
-            "user_id",
-            *FEATURES,
-            "segment_id",
-            _lookup(F.col("segment_id"), self.labels).alias("segment_label"),
-        )
+        means = [(center.frequency, center.spend) for center in self.centers]
+        nearest = _nearest(means, self.spreads, *_coordinates())
+        scored = features.select("user_id", *FEATURES, nearest.alias("segment_id"))
+        labels = {center.segment_id: center.label for center in self.centers}
+        return scored.withColumn("segment_label", _lookup(F.col("segment_id"), labels))
 
     def save(self, path: str) -> None:
+        """Add the model to a folder as its newest version. A version is one file that Spark moves
+        into place when it is whole, so a save that breaks off leaves the version before."""
         spark = SparkSession.active()
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        labels = spark.createDataFrame(list(self.labels.items()), "segment_id int, label string")
-        labels.coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
+        rows = [
+            (c.segment_id, c.label, c.frequency, c.spend, *self.spreads, self.cost) for c in self.centers
+        ]
+        version = f"{path}/version={time.time_ns():020d}"
+        spark.createDataFrame(rows, MODEL_SCHEMA).coalesce(1).write.parquet(version)
 
     @classmethod
     def load(cls, path: str) -> SegmentModel:
-        rows = SparkSession.active().read.parquet(f"{path}/labels").collect()
-        return cls(PipelineModel.load(f"{path}/pipeline"), {r.segment_id: r.label for r in rows})
+        """The newest version in a folder."""
+        stored = SparkSession.active().read.schema(f"{MODEL_SCHEMA}, version string").parquet(path)
+        newest = stored.agg(F.max("version")).first()[0]
+        if newest is None:
+            raise ValueError(f"no segment model in {path}")
+        rows = stored.filter(F.col("version") == newest).orderBy("segment_id").collect()
+        centers = tuple(Center(r.segment_id, r.label, r.frequency, r.spend) for r in rows)
+        return cls(centers, (rows[0].frequency_spread, rows[0].spend_spread), rows[0].cost)
 
 
 @dataclass(frozen=True)
@@ -91,34 +114,29 @@ def fit_segments(
 ) -> Segmentation | None:
     """Cluster users and label the clusters by mean spend; None with fewer users than clusters.
 
-    The features are stored first: training passes over them many times, and a lost executor
-    must not send it back to the event log. Users with equal features are one point with a
-    weight. Points are dealt out and sorted by their values over a configured number of
-    partitions, so the result does not depend on how the features were partitioned.
+    K-means over both features in units of their deviation, the best of several starts. Segments are
+    numbered from the lowest mean spend up; one without any spend comes last. Fewer distinct users
+    than clusters give fewer segments.
+
+    Features are stored first: training passes over them many times, and a lost executor must not send
+    it back to the event log. Users with equal features are one point with a weight, spend counts by
+    millionths, and all sums are of whole numbers, so neither the order of users nor their
+    partitions can change the result, and nothing is sorted. Each pass is one job for all starts; the
+    driver gets a row per start and cluster. Sums are bigints: an error stops a fit that exceeds them.
     """
     staged = in_shared_folder(features, "features")
-    if staged.limit(config.segment_count).count() < config.segment_count:
-        log.warning("fewer users than the %d segments asked for", config.segment_count)
-        return None
-
-    points = (
-        staged.fillna(0, subset=list(FEATURES))
-        .groupBy(*FEATURES)
-        .agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-        .repartition(config.segment_partitions, *FEATURES)
-        .sortWithinPartitions(*FEATURES)
+    frequency, spend = _coordinates()
+    points = staged.groupBy(frequency.alias("f"), spend.alias("m")).agg(
+        F.count(F.lit(1)).alias(WEIGHT), F.count("monetary").alias("paid")
     )
-    ordered = staged.repartition(config.segment_partitions, "user_id").sortWithinPartitions("user_id")
-    scaling = _scaling().fit(ordered)
-    scaled = scaling.transform(points).select("scaled", WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    points = in_shared_folder(points, "points").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        clusters = _best_of_starts(scaled, config)
+        model = _fitted(points, config)
     finally:
-        scaled.unpersist()
-
-    pipeline = PipelineModel([*scaling.stages, clusters])
-    labels = _labels_by_spend(pipeline.transform(staged), config.segment_labels)
-    model = SegmentModel(pipeline, labels)
+        points.unpersist()
+    if model is None:
+        log.warning("fewer users than the %d segments asked for", config.segment_count)
+        return None
     return Segmentation(model, model.transform(staged))
 
 
@@ -169,54 +187,117 @@ def segment_distribution(users: DataFrame) -> DataFrame:
     )
 
 
-def _scaling() -> Pipeline:
-    filled = ", ".join(
-        f"CAST(coalesce({name}, 0) AS DOUBLE) AS {name}_filled" for name in FEATURES
-    )
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-            VectorAssembler(inputCols=[f"{name}_filled" for name in FEATURES], outputCol="vector"),
-            StandardScaler(inputCol="vector", outputCol="scaled", withMean=True, withStd=True),
-        ]
-    )
+def _coordinates() -> tuple[Column, Column]:
+    """Both features as whole numbers, nulls as zero: the frequency, and the spend in millionths."""
+    spend = F.round(F.coalesce(F.col("monetary").cast("double"), F.lit(0.0)) * MILLION).cast("bigint")
+    return F.coalesce(F.col("frequency"), F.lit(0)).cast("bigint"), spend
 
 
-def _best_of_starts(scaled: DataFrame, config: AnalyticsConfig) -> KMeansModel:
-    """The fit with the least within-cluster distance among several seeds.
+Mean = tuple[float, float]
 
-    The fits are independent and each is a chain of short jobs, so several run side by side, as
-    Spark's own model tuning does it.
-    """
-    kmeans = KMeans(
-        featuresCol="scaled",
-        predictionCol="segment_id",
-        k=config.segment_count,
-        maxIter=config.segment_max_iterations,
-        tol=config.segment_tolerance,
-        weightCol=WEIGHT,
+
+def _distance(mean: Mean, spreads: tuple[float, float], f: Column, m: Column) -> Column:
+    x, y = (f - F.lit(mean[0])) / F.lit(spreads[0]), (m - F.lit(mean[1])) / F.lit(spreads[1])
+    return x * x + y * y
+
+
+def _nearest(means: list[Mean], spreads: tuple[float, float], f: Column, m: Column) -> Column:
+    """The number of the nearest mean, the first of equally near ones."""
+    distances = F.array(*[_distance(mean, spreads, f, m) for mean in means])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
+def _fitted(points: DataFrame, config: AnalyticsConfig) -> SegmentModel | None:
+    f, m, weight = F.col("f"), F.col("m"), F.col(WEIGHT)
+
+    def square(x: Column) -> Column:
+        return F.coalesce(F.sum(x.cast("decimal(19,0)") * (x * weight).cast("decimal(19,0)")), F.lit(0))
+
+    n, sum_f, sum_m, sum_ff, sum_mm = (
+        int(value or 0)
+        for value in points.agg(F.sum(weight), F.sum(f * weight), F.sum(m * weight), square(f), square(m)).first()
     )
-    starts = [
-        {kmeans.seed: config.segment_seed + index} for index in range(config.segment_starts)
+    if n < config.segment_count:
+        return None
+    spreads = tuple(
+        math.sqrt((n * squares - total * total) / (n * n)) or 1.0
+        for total, squares in ((sum_f, sum_ff), (sum_m, sum_mm))
+    )
+    seeds = [config.segment_seed + start for start in range(config.segment_starts)]
+    means = _first_means(points, seeds, config.segment_count, spreads)
+    fits = _moved_means(points, means, spreads, config.segment_max_iterations)
+    explained = [
+        sum(((sf / w / spreads[0]) ** 2 + (sm / w / spreads[1]) ** 2) * w for w, sf, sm, _ in fit if w)
+        for fit in fits
     ]
-    fit = inheritable_thread_target(scaled.sparkSession)(lambda start: kmeans.fit(scaled, start))
-    with ThreadPool(min(config.segment_parallelism, len(starts))) as pool:
-        fits = pool.map(fit, starts)
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
-
-
-def _labels_by_spend(scored: DataFrame, names: tuple[str, ...]) -> dict[int, str | None]:
-    """Cluster id to label, names given from the lowest mean spend up; one row per cluster."""
-    ranked = (
-        scored.groupBy("segment_id")
-        .agg(F.avg("monetary").alias("mean_spend"))
-        .orderBy(F.col("mean_spend").asc_nulls_last(), "segment_id")
-        .collect()
+    best = max(range(len(fits)), key=explained.__getitem__)
+    found = [sums for sums in fits[best] if sums[0]]
+    found.sort(key=lambda s: (s[3] == 0, s[2] / s[3] if s[3] else 0.0, s[1] / s[0]))
+    names = config.segment_labels
+    centers = tuple(
+        Center(i, names[i] if i < len(names) else None, sf / w, sm / w) for i, (w, sf, sm, _) in enumerate(found)
     )
-    return {
-        row.segment_id: names[rank] if rank < len(names) else None
-        for rank, row in enumerate(ranked)
-    }
+    total = sum_ff / spreads[0] ** 2 + sum_mm / spreads[1] ** 2
+    return SegmentModel(centers, spreads, max(0.0, total - explained[best]))
+
+
+def _first_means(points: DataFrame, seeds: list[int], k: int, spreads: tuple[float, float]) -> list[list[Mean]]:
+    """For each seed k points drawn one after the other, with a chance in proportion to weight and
+    squared distance from those drawn before.
+
+    A draw is a race: each point has an exponential time at that rate, from a hash of the seed, the
+    round and the point, and the first one wins. So the draw does not depend on any order.
+    """
+    f, m = F.col("f"), F.col("m")
+    drawn: list[list[Mean]] = [[] for _ in seeds]
+
+    def winner(seed: int, means: list[Mean]) -> Column:
+        text = F.concat_ws(":", F.lit(f"{seed}:{len(means)}"), f.cast("string"), m.cast("string"))
+        uniform = (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 1) / 2.0**52
+        rate = F.col(WEIGHT).cast("double")
+        if means:
+            rate = rate * F.array_min(F.array(*[_distance(mean, spreads, f, m) for mean in means]))
+        time = F.when(rate > 0, -F.log(uniform) / rate)
+        return F.min_by(F.when(time.isNotNull(), F.struct("f", "m")), time)
+
+    for _ in range(k):
+        row = points.agg(*[winner(seed, means) for seed, means in zip(seeds, drawn)]).first()
+        for means, point in zip(drawn, row):
+            if point is not None:
+                means.append((float(point.f), float(point.m)))
+    return drawn
+
+
+Sums = tuple[int, int, int, int]
+
+
+def _moved_means(
+    points: DataFrame, starts: list[list[Mean]], spreads: tuple[float, float], most: int
+) -> list[list[Sums]]:
+    """Lloyd's steps from all starts side by side until no mean moves: each cluster's weight, sums of
+    both features, and users with a spend. A cluster that loses all its points keeps its mean."""
+    k = max(map(len, starts))
+    means, done = [list(start) for start in starts], [False] * len(starts)
+    sums: list[list[Sums]] = [[(0, 0, 0, 0)] * len(start) for start in starts]
+    for _ in range(most):
+        going = [number for number, over in enumerate(done) if not over]
+        if not going:
+            break
+        clusters = [F.lit(i * k) + _nearest(means[i], spreads, F.col("f"), F.col("m")) for i in going]
+        weight = F.col(WEIGHT)
+        rows = (
+            points.select("f", "m", WEIGHT, "paid", F.explode(F.array(*clusters)).alias("cluster"))
+            .groupBy("cluster")
+            .agg(F.sum(weight), F.sum(F.col("f") * weight), F.sum(F.col("m") * weight), F.sum("paid"))
+            .collect()
+        )
+        found = {row[0]: tuple(row[1:]) for row in rows}
+        for i in going:
+            new = [found.get(i * k + j, (0, 0, 0, 0)) for j in range(len(means[i]))]
+            moved = [(sf / w, sm / w) if w else old for (w, sf, sm, _), old in zip(new, means[i])]
+            done[i] = moved == means[i]
+            sums[i], means[i] = new, moved
+    return sums
 
 
 def _lookup(key: Column, mapping: dict[int, str | None]) -> Column:

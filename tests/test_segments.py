@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
-from clickmetrics.operators import segments
 from clickmetrics.operators.segments import SegmentModel
 from fixtures import value_set
 
@@ -86,25 +85,48 @@ def test_every_user_is_in_the_group_with_the_nearest_mean(spark):
 
 def test_best_start_is_kept(spark):
     spread = features(spark, [(f"u{i}", i * 37 % 101, float(i * 53 % 211)) for i in range(80)])
-    frame = segments._scaling().fit(spread).transform(spread).selectExpr("scaled", "1.0D AS weight").persist()
-    costs = [
-        segments._best_of_starts(
-            frame, AnalyticsConfig(segment_starts=1, segment_seed=seed, segment_count=5)
-        ).summary.trainingCost
-        for seed in (42, 43, 44)
-    ]
-    best = segments._best_of_starts(frame, AnalyticsConfig(segment_starts=3, segment_count=5))
-    assert best.summary.trainingCost == pytest.approx(min(costs))
+
+    def cost(**settings):
+        return op.fit_segments(spread, AnalyticsConfig(segment_count=5, **settings)).model.cost
+
+    costs = [cost(segment_starts=1, segment_seed=seed) for seed in (42, 43, 44)]
+    assert cost(segment_starts=3) == pytest.approx(min(costs))
     assert max(costs) > min(costs)
-    frame.unpersist()
 
 
 def test_partitions_of_the_input_do_not_matter(spark, sf_dir):
     from __spark_entry__ import REPORT, given_events
 
     users = op.segment_features(given_events(spark, sf_dir), REPORT).persist()
-    labelled = [labels(op.fit_segments(users.repartition(n), REPORT).users) for n in (4, 7, 16)]
-    assert labelled[0] == labelled[1] == labelled[2]
+    fits = [op.fit_segments(users.repartition(n), REPORT) for n in (4, 16, 64)]
+    assert fits[0].model == fits[1].model == fits[2].model
+    assert labels(fits[0].users) == labels(fits[1].users) == labels(fits[2].users)
+
+
+def test_users_are_not_sorted_or_dealt(spark):
+    users = op.fit_segments(features(spark, THREE_GROUPS), CONFIG).users
+    plan = users._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_amounts_of_any_size(spark):
+    rows = [("a", 1, -5e9), ("b", 2, 5e9), ("c", 3, 1e-6), ("d", 10**9, 2e-6), ("e", 3, 0.0)]
+    assert len(set(labels(op.fit_segments(features(spark, rows), CONFIG).users).values())) == 3
+
+
+def test_a_save_that_breaks_off_leaves_the_old_model(spark, tmp_path, monkeypatch):
+    old = op.fit_segments(features(spark, THREE_GROUPS), CONFIG).model
+    path = str(tmp_path / "model")
+    with pytest.raises(Exception):
+        SegmentModel.load(path)
+    old.save(path)
+    new = op.fit_segments(features(spark, THREE_GROUPS[2:]), CONFIG).model
+    broken = tmp_path / "model" / "version=99999999999999999999" / "_temporary" / "0"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"half")
+    assert SegmentModel.load(path) == old
+    new.save(path)
+    assert SegmentModel.load(path) == new
 
 
 def test_the_check_finds_what_is_wrong(spark):

@@ -15,7 +15,12 @@ from clickmetrics.plans import run_local_profile, run_metrics, run_warehouse_pro
 from clickmetrics.plans.profiles import DAY_METRICS, HOUR_METRICS, USER_METRICS, Build
 from clickmetrics.session import build_session
 from clickmetrics.sinks import compact_events
-from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv
+from clickmetrics.streaming import (
+    compact_quarantine,
+    file_messages,
+    ingest_messages,
+    load_staged_csv,
+)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,7 +38,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--archive", help="folder that files go to when they are done")
     ingest.add_argument("--once", action="store_true", help="stop when all messages are stored")
 
-    compact = jobs.add_parser("compact", help="fold the loads of closed days together")
+    compact = jobs.add_parser("compact", help="fold the loads and bad messages of closed days together")
     compact.add_argument("--before", type=date.fromisoformat, required=True)
 
     runs = {
@@ -83,6 +88,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> list[str]:
         return []
     if given.job == "compact":
         compact_events(spark, given.before, config)
+        compact_quarantine(spark, given.before, config)
         return []
     if given.job == "metric":
         names, own = own_metrics(given.names)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import defaultdict
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +24,22 @@ from clickmetrics.schema import (
 from clickmetrics.session import in_shared_folder
 from clickmetrics.sinks.metrics import drop_old_versions, new_version, save_metric, versions
 from clickmetrics.sources.tables import (
-    FOLDED_DAYS,
     FOLDED_PREFIX,
+    Ledger,
     Partition,
     check_day_zone,
     current_table,
+    events_ledger,
     folded_days,
     hidden_partitions,
     in_partitions,
     stored_partitions,
 )
 
-#: Loads that compactions have closed: source, and the number of the last closed load there.
-CLOSED_LOADS = "closed_loads"
+
+
+#: The loads of days, None for events without a time.
+LoadsOfDays = dict[str | None, list[str]]
 
 
 def create_events_table(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> None:
@@ -103,10 +107,8 @@ def load_events(
     forget_rollup(spark, load_id, config)
 
 
-def _by_day(placed: DataFrame) -> DataFrame:
-    return placed.hint("rebalance", DAY_COLUMN).sortWithinPartitions(
-        DAY_COLUMN, LOAD_COLUMN, "event_type"
-    )
+def _by_day(placed: DataFrame, within: str = "event_type") -> DataFrame:
+    return placed.hint("rebalance", DAY_COLUMN).sortWithinPartitions(DAY_COLUMN, LOAD_COLUMN, within)
 
 
 def drop_partitions(spark: SparkSession, table: str, partitions: list[Partition]) -> None:
@@ -123,12 +125,15 @@ def _day_literal(day: str | None) -> str:
     return "null" if day is None else f"'{day}'"
 
 
-def is_folded(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> bool:
+def is_folded(
+    spark: SparkSession, load_id: str, config: AnalyticsConfig, ledger: Ledger | None = None
+) -> bool:
     """Whether a load was closed by a compaction."""
-    if not spark.catalog.tableExists(config.table(CLOSED_LOADS)):
+    name = config.table((ledger or events_ledger(config)).closed)
+    if not spark.catalog.tableExists(name):
         return False
     source, number = _place(load_id)
-    closed = current_table(spark, config.table(CLOSED_LOADS))
+    closed = current_table(spark, name)
     return not closed.filter((F.col("source") == source) & (F.col("number") >= number)).isEmpty()
 
 
@@ -138,17 +143,19 @@ def _place(load_id: str) -> tuple[str, int]:
     return (batch[1], int(batch[2])) if batch else (load_id, 0)
 
 
-def close_loads(spark: SparkSession, loads: list[str], config: AnalyticsConfig) -> None:
+def close_loads(
+    spark: SparkSession, loads: list[str], config: AnalyticsConfig, ledger: Ledger
+) -> None:
     """Refuse these loads from now on. A stream's batches come in order, so the last one's number
     stands for all before it."""
     last: dict[str, int] = {}
     for source, number in map(_place, loads):
         last[source] = max(last.get(source, 0), number)
     closed = spark.createDataFrame(list(last.items()), "source string, number bigint")
-    if spark.catalog.tableExists(config.table(CLOSED_LOADS)):
-        closed = current_table(spark, config.table(CLOSED_LOADS)).unionByName(closed)
+    if spark.catalog.tableExists(config.table(ledger.closed)):
+        closed = current_table(spark, config.table(ledger.closed)).unionByName(closed)
     closed = closed.groupBy("source").agg(F.max("number").alias("number"))
-    save_metric(closed, CLOSED_LOADS, config, "replace")
+    save_metric(closed, ledger.closed, config, "replace")
 
 
 def forget_rollup(spark: SparkSession, load_id: str, config: AnalyticsConfig) -> None:
@@ -178,45 +185,66 @@ def compact_events(
 
     What is rolled up of the folded loads is folded with them, so that no run reads them again.
     """
-    table = config.table(config.events_table)
-    drop_partitions(spark, table, hidden_partitions(spark, config))
+    def fold_more(folded: LoadsOfDays, into: str) -> None:
+        fold_rollup(spark, folded, into, config)
+
+    folded, into = fold_loads(spark, before, config, events_ledger(config), EVENT_COLUMNS, "event_type", fold_more)
+    if folded:
+        old = [(day, load) for day, loads in folded.items() for load in loads]
+        if spark.catalog.tableExists(config.table(STORED_ROLLUP)):
+            drop_partitions(spark, config.table(STORED_ROLLUP), old)
+        fold_state_parts(spark, folded, into, config)
+    return len(folded)
+
+
+def fold_loads(
+    spark: SparkSession,
+    before: date,
+    config: AnalyticsConfig,
+    ledger: Ledger,
+    columns: Sequence[str],
+    within: str,
+    fold_more: Callable[[LoadsOfDays, str], None] = lambda folded, into: None,
+) -> tuple[LoadsOfDays, str]:
+    """Fold the loads of a table as ``compact_events`` does; what was folded, and into which load.
+
+    Rows are sorted by the column ``within``. ``fold_more`` is called before readers change over.
+    """
+    table = config.table(ledger.table)
+    drop_partitions(spark, table, hidden_partitions(spark, config, ledger))
     loads_of = defaultdict(list)
     for day, load in stored_partitions(spark, table):
         if day is None or day < before.isoformat():
             loads_of[day].append(load)
     many = {day: loads for day, loads in loads_of.items() if len(loads) > 1}
-    if not many:
-        return 0
     into = f"{FOLDED_PREFIX}{uuid.uuid4().hex}"
+    if not many:
+        return {}, into
     old = [(day, load) for day, loads in many.items() for load in loads]
     rows = (
         current_table(spark, table)
         .filter(in_partitions(old))
-        .select(*EVENT_COLUMNS, DAY_COLUMN, F.lit(into).alias(LOAD_COLUMN))
+        .select(*columns, DAY_COLUMN, F.lit(into).alias(LOAD_COLUMN))
     )
-    _by_day(rows).write.insertInto(table, overwrite=True)
-    fold_rollup(spark, many, into, config)
-    close_loads(spark, [load for _, load in old if not load.startswith(FOLDED_PREFIX)], config)
-    announce(spark, many, into, config)
+    _by_day(rows, within).write.insertInto(table, overwrite=True)
+    fold_more(many, into)
+    close_loads(spark, [load for _, load in old if not load.startswith(FOLDED_PREFIX)], config, ledger)
+    announce(spark, many, into, config, ledger)
     drop_partitions(spark, table, old)
-    if spark.catalog.tableExists(config.table(STORED_ROLLUP)):
-        drop_partitions(spark, config.table(STORED_ROLLUP), old)
-    fold_state_parts(spark, many, into, config)
-    announce(spark, {day: [] for day in many}, into, config)
-    return len(many)
+    announce(spark, {day: [] for day in many}, into, config, ledger)
+    return many, into
 
 
-LoadsOfDays = dict[str | None, list[str]]
-
-
-def announce(spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig) -> None:
+def announce(
+    spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig, ledger: Ledger
+) -> None:
     """Turn readers to the folded rows of days, and away from loads that are not dropped yet."""
-    rows = [(row.day, row.into, row.pending) for row in folded_days(spark, config) if row.day not in folded]
+    others = [row for row in folded_days(spark, config, ledger) if row.day not in folded]
+    rows = [(row.day, row.into, row.pending) for row in others]
     rows += [(day, into, loads) for day, loads in folded.items()]
     frame = spark.createDataFrame(rows, "day string, into string, pending array<string>")
-    save_metric(
-        frame.withColumn("day", F.col("day").cast("date")).coalesce(1), FOLDED_DAYS, config, "replace"
-    )
+    frame = frame.withColumn("day", F.col("day").cast("date")).coalesce(1)
+    save_metric(frame, ledger.folded, config, "replace")
 
 
 def fold_rollup(spark: SparkSession, folded: LoadsOfDays, into: str, config: AnalyticsConfig) -> None:

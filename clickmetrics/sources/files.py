@@ -43,15 +43,19 @@ def read_schema(mode: ReadMode) -> T.StructType:
     return EVENT_SCHEMA if mode == "strict" else TOLERANT_SCHEMA
 
 
-def csv_events(spark: SparkSession, path: str, mode: ReadMode = "strict") -> DataFrame:
+def csv_events(
+    spark: SparkSession, path: str, mode: ReadMode = "strict", multi_line: bool = False
+) -> DataFrame:
     """Headed CSV events, split by Spark into tasks by size.
 
+    Texts may hold line breaks with ``multi_line``; each file is then one task's. Without it
+    such a record does not fit.
     ``strict`` fails on a record that does not fit, ``tolerant`` keeps it as text in the
     corrupt-record column. The header of every file must name the columns in order.
     """
     return (
         spark.read.schema(read_schema(mode))
-        .options(**CSV_OPTIONS, **read_options(mode))
+        .options(**CSV_OPTIONS, **read_options(mode), multiLine=multi_line)
         .csv(path)
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -17,8 +18,20 @@ from clickmetrics.schema import DAY_COLUMN, DAY_ZONE_PROPERTY, EVENT_COLUMNS, LO
 #: A day and a load, which name a partition; the day is None for events without a time.
 Partition = tuple[str | None, str]
 
-#: A row for each day that was compacted, see ``folded_days``.
-FOLDED_DAYS = "folded_days"
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """The names that go with a table of loads: the table, the one with a row for each day that was
+    compacted, see ``folded_days``, and the one of closed loads."""
+
+    table: str
+    folded: str = "folded_days"
+    closed: str = "closed_loads"
+
+
+def events_ledger(config: AnalyticsConfig) -> Ledger:
+    return Ledger(config.events_table)
 
 
 def use_events(events: DataFrame, name: str = "events") -> DataFrame:
@@ -99,29 +112,37 @@ def check_day_zone(spark: SparkSession, table: str) -> None:
         raise ValueError(f"the days of {table} are those of {stored}, the session is in {zone}")
 
 
-def visible_partitions(stored: DataFrame, config: AnalyticsConfig) -> DataFrame:
+def visible_partitions(
+    stored: DataFrame, config: AnalyticsConfig, ledger: Ledger | None = None
+) -> DataFrame:
     """Leave out partitions that a compaction has folded into another one and not dropped yet, and
     those that one has written and not announced. Told by the partition columns and one row a
     day, without listing partitions."""
-    days = folded_days(stored.sparkSession, config)
+    days = folded_days(stored.sparkSession, config, ledger)
     announced = sorted({row.into for row in days})
     stored = stored.filter(~F.col(LOAD_COLUMN).startswith(FOLDED_PREFIX) | F.col(LOAD_COLUMN).isin(announced))
     pending = [(row.day, load) for row in days for load in row.pending]
     return stored.filter(~F.coalesce(in_partitions(pending), F.lit(False))) if pending else stored
 
 
-def folded_days(spark: SparkSession, config: AnalyticsConfig) -> list[Row]:
+def folded_days(
+    spark: SparkSession, config: AnalyticsConfig, ledger: Ledger | None = None
+) -> list[Row]:
     """One row for each day that was compacted: day, the load that holds its folded rows, and the loads
     that are in there and may not have been dropped yet."""
-    if not spark.catalog.tableExists(config.table(FOLDED_DAYS)):
+    name = config.table((ledger or events_ledger(config)).folded)
+    if not spark.catalog.tableExists(name):
         return []
-    days = current_table(spark, config.table(FOLDED_DAYS))
+    days = current_table(spark, name)
     return days.select(F.col("day").cast("string").alias("day"), "into", "pending").collect()
 
 
-def hidden_partitions(spark: SparkSession, config: AnalyticsConfig) -> list[Partition]:
+def hidden_partitions(
+    spark: SparkSession, config: AnalyticsConfig, ledger: Ledger | None = None
+) -> list[Partition]:
     """(day, load) of the stored partitions that readers must not see."""
-    of_day = {row.day: row for row in folded_days(spark, config)}
+    ledger = ledger or events_ledger(config)
+    of_day = {row.day: row for row in folded_days(spark, config, ledger)}
 
     def hidden(day: str | None, load: str) -> bool:
         row = of_day.get(day)
@@ -129,7 +150,7 @@ def hidden_partitions(spark: SparkSession, config: AnalyticsConfig) -> list[Part
             return True
         return load.startswith(FOLDED_PREFIX) and (row is None or load != row.into)
 
-    stored = stored_partitions(spark, config.table(config.events_table))
+    stored = stored_partitions(spark, config.table(ledger.table))
     return sorted((part for part in stored if hidden(*part)), key=str)
 
 

@@ -1,6 +1,7 @@
 """Streaming ingestion with Structured Streaming."""
 
 from clickmetrics.streaming.ingest import (
+    compact_quarantine,
     file_messages,
     ingest_messages,
     kafka_messages,
@@ -9,6 +10,7 @@ from clickmetrics.streaming.ingest import (
 from clickmetrics.streaming.staging import load_staged_csv
 
 __all__ = [
+    "compact_quarantine",
     "file_messages",
     "ingest_messages",
     "kafka_messages",

@@ -10,20 +10,28 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from concurrent.futures import Future
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickmetrics.config import AnalyticsConfig
-from clickmetrics.schema import LOAD_COLUMN
-from clickmetrics.sinks.events import ClosedLoadError, load_events
+from clickmetrics.schema import DAY_COLUMN, LOAD_COLUMN
+from clickmetrics.sinks.events import ClosedLoadError, fold_loads, is_folded, load_events
 from clickmetrics.sources.messages import parse_messages, split_parsed
-from clickmetrics.sources.tables import current_table
+from clickmetrics.sources.tables import (
+    Ledger,
+    current_table,
+    stored_partitions,
+    visible_partitions,
+)
 
 log = logging.getLogger(__name__)
 
-QUARANTINE_TABLE = "events_quarantine"
+#: Messages set aside, by the day they were and by batch.
+QUARANTINE = Ledger("events_quarantine", "folded_quarantine", "closed_quarantine")
+QUARANTINE_COLUMNS = ("value", "reason")
 
 
 #: How far behind the newest file a file may be dated and still be read. Spark's own default of a
@@ -119,7 +127,20 @@ def load_batch(events: DataFrame, load_id: str, config: AnalyticsConfig) -> None
 
 def quarantined(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
     """Messages set aside so far: text and reason."""
-    return current_table(spark, config.table(QUARANTINE_TABLE)).select("value", "reason")
+    stored = current_table(spark, config.table(QUARANTINE.table))
+    return visible_partitions(stored, config, QUARANTINE).select(*QUARANTINE_COLUMNS)
+
+
+def compact_quarantine(
+    spark: SparkSession, before: date, config: AnalyticsConfig = AnalyticsConfig()
+) -> int:
+    """Fold what was set aside on each day before ``before`` into one partition per day, as
+    ``compact_events`` does for events; returns the days. A folded batch that is replayed is not
+    stored again."""
+    if not spark.catalog.tableExists(config.table(QUARANTINE.table)):
+        return 0
+    folded, _ = fold_loads(spark, before, config, QUARANTINE, QUARANTINE_COLUMNS, "reason")
+    return len(folded)
 
 
 def _trigger(
@@ -131,15 +152,23 @@ def _trigger(
 
 
 def _set_aside(bad: DataFrame, load_id: str, config: AnalyticsConfig) -> None:
+    """Store a batch's bad messages under the day of its first try."""
     if bad.isEmpty():
         return
-    table = config.table(QUARANTINE_TABLE)
-    bad.sparkSession.sql(
+    spark, table = bad.sparkSession, config.table(QUARANTINE.table)
+    spark.sql(
         f"""
-        CREATE TABLE IF NOT EXISTS {table} (value STRING, reason STRING, {LOAD_COLUMN} STRING)
+        CREATE TABLE IF NOT EXISTS {table} (
+            value STRING, reason STRING, {DAY_COLUMN} DATE, {LOAD_COLUMN} STRING
+        )
         USING parquet
         OPTIONS (partitionOverwriteMode 'dynamic')
-        PARTITIONED BY ({LOAD_COLUMN})
+        PARTITIONED BY ({DAY_COLUMN}, {LOAD_COLUMN})
         """
     )
-    bad.withColumn(LOAD_COLUMN, F.lit(load_id)).write.insertInto(table, overwrite=True)
+    if is_folded(spark, load_id, config, QUARANTINE):
+        return
+    tried = stored_partitions(spark, table, load_id)
+    day = F.lit(tried[0][0]).cast("date") if tried else F.current_date()
+    placed = bad.select(*QUARANTINE_COLUMNS, day.alias(DAY_COLUMN), F.lit(load_id).alias(LOAD_COLUMN))
+    placed.write.insertInto(table, overwrite=True)

@@ -26,7 +26,8 @@ def load_staged_csv(
 
     The checkpoint remembers the files that are done, which replaces emptying the staging file.
     ``after_load`` can have Spark move done files to ``archive`` or delete them as well; Spark
-    does that with the batch after the one that read them. A record that does not fit fails
+    does that with the batch after the one that read them. Texts may hold line breaks, so a file is
+    read by one task; ``append_csv`` keeps files to a size. A record that does not fit fails
     the run, and the files are tried again on the next one.
     """
     reader = spark.readStream.schema(EVENT_SCHEMA).options(
@@ -34,6 +35,7 @@ def load_staged_csv(
         maxFileAge=MAX_FILE_AGE,
         **CSV_OPTIONS,
         **read_options("strict"),
+        multiLine=True,
     )
     if after_load == "archive":
         if archive is None:

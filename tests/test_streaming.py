@@ -5,17 +5,23 @@ from __future__ import annotations
 import json
 import os
 import time
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 
 from clickmetrics import AnalyticsConfig
-from clickmetrics.sources.tables import stored_partitions
 from clickmetrics.sinks import append_csv, append_messages, compact_events
 from clickmetrics.sources import csv_events, events_table
-from clickmetrics.streaming import file_messages, ingest_messages, load_staged_csv, quarantined
-from clickmetrics.streaming import ingest
-from clickmetrics.streaming.ingest import load_batch
+from clickmetrics.sources.tables import stored_partitions
+from clickmetrics.streaming import (
+    compact_quarantine,
+    file_messages,
+    ingest,
+    ingest_messages,
+    load_staged_csv,
+    quarantined,
+)
+from clickmetrics.streaming.ingest import QUARANTINE, _set_aside, load_batch
 from fixtures import EDGE_EVENTS, events_of, value_set, values
 
 
@@ -201,3 +207,31 @@ def test_a_replayed_batch_is_stored_once_after_compaction(spark, events, config,
     # A stream has one row, whatever the number of its batches, and its next batch is not closed.
     load_batch(events, f"{source}-{4:012d}", config)
     assert events_table(spark, config).count() == 2 * len(EDGE_EVENTS)
+
+
+def test_bad_messages_are_folded_by_day_and_replayed_once(spark, events, config, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for batch in range(4):
+        (landing / f"{batch}.json").write_text(f"not json {batch}\nnot json\n")
+        drain(spark, landing, tmp_path, config)
+    table = config.table(QUARANTINE.table)
+    before = sorted(values(quarantined(spark, config)))
+    batches = [load for _, load in stored_partitions(spark, table)]
+    assert (len(batches), len(before)) == (4, 8)
+    tomorrow = date.today() + timedelta(days=2)
+    assert compact_quarantine(spark, date(2024, 1, 1), config) == 0
+    assert compact_quarantine(spark, tomorrow, config) == 1
+    assert len(stored_partitions(spark, table)) == 1
+    assert sorted(values(quarantined(spark, config))) == before
+    again = spark.createDataFrame([("not json", "malformed")], "value string, reason string")
+    for load in batches:
+        _set_aside(again, load, config)
+    assert sorted(values(quarantined(spark, config))) == before
+    # The next batch is set aside, on a retry under the day of its first try.
+    after = f"{max(batches)[:-12]}{99:012d}"
+    for _ in range(2):
+        _set_aside(again, after, config)
+    assert sorted(values(quarantined(spark, config))) == sorted([*before, ("not json", "malformed")])
+    assert compact_quarantine(spark, tomorrow, config) == 1
+    assert len(values(quarantined(spark, config))) == 9

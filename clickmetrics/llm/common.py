@@ -51,9 +51,23 @@ def bounded_parts(batch: pa.Array, size_at_once: int) -> Iterator[list]:
 
 
 def row_hash(frame: DataFrame) -> Column:
-    """A hash of a row's columns; map columns, which have no order, are left out."""
-    hashed = [name for name, kind in frame.dtypes if "map<" not in kind]
-    return F.xxhash64(*[F.col(f"`{name}`") for name in hashed])
+    """A hash of all of a row's columns. Maps and variants, which cannot be hashed, count as text."""
+
+    def hashable(name: str, kind: str) -> Column:
+        value = column(name)
+        return F.to_json(F.struct(value.alias("value"))) if "map<" in kind or "variant" in kind else value
+
+    return F.xxhash64(*[hashable(name, kind) for name, kind in frame.dtypes])
+
+
+def column(name: str) -> Column:
+    """A column by its plain name, whatever characters are in there."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fields(of: str, names: Sequence[str]) -> list[Column]:
+    """The fields of a struct column under their own names."""
+    return [F.col(of).getField(name).alias(name) for name in names]
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:

@@ -255,7 +255,7 @@ def dedup_lines(
         part = tables.filter((F.col("shard") >= first) & (F.col("shard") < first + at_once))
         probe = _without_lines(spark.sparkContext.broadcast(part.collect()), shards, min_docs)
         probed = found.select(
-            F.struct(*found.columns).alias("document"),
+            F.struct("*").alias("document"),
             probe(whole, key_hashes(line_keys(whole), min_chars)).alias("probed"),
         )
         found = probed.withColumn(

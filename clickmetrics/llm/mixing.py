@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmetrics.llm.common import (
+    fields,
     row_hash,
     with_running_sums,
     word_count,
@@ -183,27 +184,58 @@ def mix_documents(
     seed: int = 1,
     text: str = "text",
 ) -> DataFrame:
-    """The mix itself: the documents' rows with all their columns, each as often as taken.
+    """The mix itself: the documents' rows with all their columns, each as often as taken. Columns
+    stay as they are, whatever their names and types; rows that are equal in full are interchangeable.
 
-    Rows meet their plan by doc_id and a hash of the row. Rows that are equal in full are one row
-    here, taken as often as all of them together, so the result is the same.
+    In each pass over a source the mix takes the rows up to some place in the shuffled order.
+    Documents meet that place, a small row per source and pass, and compare their own with it,
+    so that no text is moved for a plan of its own. Only rows equal to the last one taken are
+    counted off.
     """
-    plan = (
-        mix_plan(docs, weights, passes, seed, text)
-        .groupBy("doc_id", "row_hash")
-        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("equal_rows"))
-        .filter("copies > 0")
-    )
-    plan = written(plan, "mix-plan").select(F.struct("*").alias("plan"))
-    rows = docs.select(F.struct(*docs.columns).alias("document"), row_hash(docs).alias("row_hash"))
-    met = rows.join(
-        plan,
-        F.col("document.doc_id").eqNullSafe(F.col("plan.doc_id"))
-        & (F.col("row_hash") == F.col("plan.row_hash")),
-    )
-    single = met.filter("plan.equal_rows = 1")
-    repeated = met.filter("plan.equal_rows > 1").dropDuplicates(["document"])
-    taken = single.union(repeated).select(
-        "document", F.explode(F.array_repeat(F.lit(0), F.col("plan.copies").cast("int")))
-    )
-    return taken.select("document.*")
+    plan = written(_taken_places(docs, weights, passes, seed, text), "mix-places")
+    of_pass = F.struct("pass", "last", "equal_taken")
+    lasts = plan.groupBy("source").agg(F.collect_list(of_pass).alias("passes"))
+    lasts = lasts.select(F.struct("*").alias("plan"))
+    place = F.struct(
+        shuffle_key(F.col("doc_id"), seed).alias("shuffle_key"),
+        "doc_id",
+        word_count(text).alias("size"),
+        row_hash(docs).alias("row_hash"),
+    )
+    rows = docs.select(F.struct("*").alias("document"), place.alias("place"))
+    of_source = F.col("document").getField("source").eqNullSafe(F.col("plan.source"))
+    met = rows.join(lasts, of_source).filter("place.size > 0")
+
+    def passes_where(test) -> Column:
+        return F.filter("plan.passes", lambda one: test(F.col("place"), one["last"]))
+
+    below = F.size(passes_where(lambda own, last: own < last))
+    at_last = passes_where(lambda own, last: own == last)
+    met = met.select("document", "place", below.alias("copies"), at_last.alias("at_last"))
+    sure = met.filter("copies > 0").select("document", "copies")
+    edge = met.filter(F.size("at_last") > 0).select("document", F.explode("at_last").alias("at"))
+    alike = Window.partitionBy("at.pass", "at.last").orderBy("at.pass")
+    edge = edge.withColumn("number", F.row_number().over(alike)).filter("number <= at.equal_taken")
+    taken = sure.unionByName(edge.select("document", F.lit(1).alias("copies")))
+    each = taken.select("document", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return each.select(*fields("document", docs.columns))
+
+
+def _taken_places(
+    docs: DataFrame, weights: Sequence[int], passes: int, seed: int, text: str
+) -> DataFrame:
+    """For each source and pass the place of the last row taken, and how many rows equal to it are."""
+    taken = mix_plan(docs, weights, passes, seed, text).filter("copies > 0")
+    place = F.struct(
+        shuffle_key(F.col("doc_id"), seed).alias("shuffle_key"), "doc_id", "size", "row_hash"
+    )
+    passed = taken.select(
+        "source", place.alias("place"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("pass")
+    )
+    lasts = passed.groupBy("source", "pass").agg(F.max("place").alias("last"))
+    counted = passed.groupBy("source", "pass", "place").agg(F.count(F.lit(1)).alias("equal_taken"))
+    named = lasts.select(F.struct("*").alias("its"))
+    same = F.col("source").eqNullSafe(F.col("its.source")) & (F.col("pass") == F.col("its.pass"))
+    return counted.join(named, same & (F.col("place") == F.col("its.last"))).select(
+        "source", "pass", F.col("place").alias("last"), "equal_taken"
+    )

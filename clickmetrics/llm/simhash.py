@@ -15,10 +15,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmetrics.llm.common import row_hash, whole_text, written
+from clickmetrics.llm.common import fields, row_hash, whole_text, written
 from clickmetrics.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -251,16 +251,30 @@ def drop_near_copies(
     text: str = "text",
 ) -> DataFrame:
     """The documents with one row left of each component, the one with the smallest doc_id; of
-    several with that id, the one with the least row hash. Rows equal in full are one."""
+    several with that id, the one with the least row hash. Rows equal in full are one. All columns
+    stay as they are, whatever their names and types.
+
+    Documents meet a narrow row for each one to drop, by doc_id and a hash of the row; where few
+    are dropped, Spark sends these to the documents.
+    """
     classes = written(simhash_classes(docs, shingle_words, max_bits, text), "classes")
-    stay = classes.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("stays")
+    one = classes.groupBy("component", "doc_id", "row_hash").agg(F.count(F.lit(1)).alias("equal_rows"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("stays")
+    stay = classes.groupBy("component").agg(best)
+    marked = one.join(stay, "component").withColumn(
+        "stays",
+        F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("row_hash") == F.col("stays.row_hash")),
     )
-    stay = stay.select(F.col("stays.doc_id").alias("its_id"), F.col("stays.row_hash").alias("its_hash"))
-    left = docs.join(
-        stay,
-        F.col("doc_id").eqNullSafe(F.col("its_id")) & (row_hash(docs) == F.col("its_hash")),
-        "left_semi",
+    special = marked.filter("NOT stays OR equal_rows > 1").select("doc_id", "row_hash", "stays")
+    special = written(special, "special-rows").select(F.struct("*").alias("plan"))
+    rows = docs.select(F.struct("*").alias("document"), row_hash(docs).alias("hash"))
+    met = F.col("document").getField("doc_id").eqNullSafe(F.col("plan.doc_id")) & (
+        F.col("hash") == F.col("plan.row_hash")
     )
-    equal_rows = classes.groupBy("doc_id", "row_hash").count().filter("count > 1")
-    return left if equal_rows.isEmpty() else left.dropDuplicates()
+    left = rows.join(special, met, "left_anti")
+    repeated = special.filter("plan.stays")
+    if not repeated.isEmpty():
+        equal = Window.partitionBy("plan.doc_id", "hash").orderBy("hash")
+        first = rows.join(repeated, met).withColumn("number", F.row_number().over(equal)).filter("number = 1")
+        left = left.select("document").unionByName(first.select("document"))
+    return left.select(*fields("document", docs.columns))

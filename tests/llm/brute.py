@@ -202,3 +202,55 @@ def trie(paths):
         )
         for node, convs in members.items()
     ]
+
+
+def quoted_line(line):
+    marks = re.match(r"(?:[ \t]*>)+", line)
+    marks = marks[0] if marks else ""
+    return marks.count(">"), line[len(marks) :].strip(" \t\r")
+
+
+def quote_passages(text):
+    """(level, said, first, last) of a message, last with the empty quoted lines that follow."""
+    lines, found, i = [quoted_line(line) for line in text.split("\n")], [], 0
+    while i < len(lines):
+        level, first = lines[i][0], i
+        while i < len(lines) and lines[i][1] and lines[i][0] == level:
+            i += 1
+        if i == first:
+            i += 1
+            continue
+        said, last = " ".join(line for _, line in lines[first:i]), i
+        while last < len(lines) and lines[last][0] and not lines[last][1]:
+            last += 1
+        found.append((level, re.sub(r"\s+", " ", said).strip().lower(), first, last - 1))
+    return found
+
+
+def chat(messages):
+    """Rows of (conv_id, turn, role, text) with one row a turn, in the columns of the test."""
+    convs, rows = defaultdict(dict), []
+    for conv_id, turn, _, text in messages:
+        convs[conv_id][turn] = text
+    for conv_id, texts in convs.items():
+        first_said, reply, shown = {}, {}, {}
+        for turn in sorted(texts):
+            for level, said, *_ in quote_passages(texts[turn]):
+                if not level:
+                    first_said.setdefault(said, turn)
+        for turn, text in texts.items():
+            quotes = [p for p in quote_passages(text) if p[0]]
+            linked = [p for p in quotes if first_said.get(p[1], turn) < turn]
+            gone = {i for *_, first, last in linked for i in range(first, last + 1)}
+            content = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+            if linked:
+                reply[turn] = -min((level, -first_said[said]) for level, said, *_ in linked)[1]
+            shown[turn] = (len({p[:2] for p in quotes}), len({p[:2] for p in linked}), content)
+
+        def thread(turn):
+            return thread(reply[turn]) if turn in reply else turn
+
+        order = sorted(texts, key=lambda turn: (thread(turn), turn))
+        for position, turn in enumerate(order):
+            rows.append((conv_id, position, thread(turn), turn, reply.get(turn), *shown[turn]))
+    return rows

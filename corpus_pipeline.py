@@ -31,7 +31,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them have. ``n_chars`` is left as it was
     read: it says how long the raw text is."""
-    return dedup_lines(docs).select(docs.columns)
+    counts = "lines"
+    while counts in docs.columns:
+        counts += "_"
+    return dedup_lines(docs, into=counts).drop(counts)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,12 +16,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def whole_text(column: str = "text") -> Column:
+def whole_text(column: str | Column = "text") -> Column:
     """A text column with null read as the empty text."""
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def word_count(column: str = "text") -> Column:
+def word_count(column: str | Column = "text") -> Column:
     return F.regexp_count(whole_text(column), F.lit(WORD)).cast("long")
 
 
@@ -50,11 +50,12 @@ def bounded_parts(batch: pa.Array, size_at_once: int) -> Iterator[list]:
         yield part
 
 
-def row_hash(frame: DataFrame) -> Column:
-    """A hash of all of a row's columns. Maps and variants, which cannot be hashed, count as text."""
+def row_hash(frame: DataFrame, of: str | None = None) -> Column:
+    """A hash of all of a row's columns, or of its fields where a struct column ``of`` holds the row.
+    Maps and variants, which cannot be hashed, count as text."""
 
     def hashable(name: str, kind: str) -> Column:
-        value = column(name)
+        value = F.col(of).getField(name) if of else column(name)
         return F.to_json(F.struct(value.alias("value"))) if "map<" in kind or "variant" in kind else value
 
     return F.xxhash64(*[hashable(name, kind) for name, kind in frame.dtypes])

@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmetrics.llm.common import (
+    WORD,
     fields,
     row_hash,
+    whole_text,
     with_running_sums,
     word_count,
     written,
@@ -189,34 +191,47 @@ def mix_documents(
 
     In each pass over a source the mix takes the rows up to some place in the shuffled order.
     Documents meet that place, a small row per source and pass, and compare their own with it,
-    so that no text is moved for a plan of its own. Only rows equal to the last one taken are
-    counted off.
+    so that no text is moved for a plan of its own, and they are read once for it. Words and hashes
+    are looked at only where the shuffled order alone does not decide. Where the cut falls among rows
+    equal in full, these few are counted off.
     """
     plan = written(_taken_places(docs, weights, passes, seed, text), "mix-places")
     of_pass = F.struct("pass", "last", "equal_taken")
     lasts = plan.groupBy("source").agg(F.collect_list(of_pass).alias("passes"))
     lasts = lasts.select(F.struct("*").alias("plan"))
-    place = F.struct(
-        shuffle_key(F.col("doc_id"), seed).alias("shuffle_key"),
-        "doc_id",
-        word_count(text).alias("size"),
-        row_hash(docs).alias("row_hash"),
+    rows = docs.filter(F.regexp_like(whole_text(text), F.lit(WORD))).select(
+        F.struct("*").alias("document"), shuffle_key(F.col("doc_id"), seed).alias("shuffle_key")
     )
-    rows = docs.select(F.struct("*").alias("document"), place.alias("place"))
     of_source = F.col("document").getField("source").eqNullSafe(F.col("plan.source"))
-    met = rows.join(lasts, of_source).filter("place.size > 0")
+    met = rows.join(lasts, of_source)
+    document = F.col("document")
+    own = F.struct(
+        "shuffle_key",
+        document.getField("doc_id").alias("doc_id"),
+        word_count(document.getField(text)).alias("size"),
+        row_hash(docs, of="document").alias("row_hash"),
+    )
+    key = F.col("shuffle_key")
 
     def passes_where(test) -> Column:
-        return F.filter("plan.passes", lambda one: test(F.col("place"), one["last"]))
-
-    below = F.size(passes_where(lambda own, last: own < last))
-    at_last = passes_where(lambda own, last: own == last)
-    met = met.select("document", "place", below.alias("copies"), at_last.alias("at_last"))
-    sure = met.filter("copies > 0").select("document", "copies")
-    edge = met.filter(F.size("at_last") > 0).select("document", F.explode("at_last").alias("at"))
-    alike = Window.partitionBy("at.pass", "at.last").orderBy("at.pass")
-    edge = edge.withColumn("number", F.row_number().over(alike)).filter("number <= at.equal_taken")
-    taken = sure.unionByName(edge.select("document", F.lit(1).alias("copies")))
+        return F.filter("plan.passes", lambda one: test(one["last"]))
+
+    def before(last: Column) -> Column:
+        return (key < last["shuffle_key"]) | ((key == last["shuffle_key"]) & (own < last))
+
+    def at(last: Column) -> Column:
+        return (key == last["shuffle_key"]) & (own == last)
+
+    if plan.filter("equal_taken < equal_rows").isEmpty():
+        copies = F.size(passes_where(lambda last: before(last) | at(last)))
+        taken = met.select("document", copies.alias("copies")).filter("copies > 0")
+    else:
+        below = F.size(passes_where(before))
+        sure = met.select("document", below.alias("copies")).filter("copies > 0")
+        edge = met.select("document", F.explode(passes_where(at)).alias("at"))
+        alike = Window.partitionBy("at.pass", "at.last").orderBy("at.pass")
+        edge = edge.withColumn("number", F.row_number().over(alike)).filter("number <= at.equal_taken")
+        taken = sure.unionByName(edge.select("document", F.lit(1).alias("copies")))
     each = taken.select("document", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
     return each.select(*fields("document", docs.columns))
 
@@ -224,18 +239,22 @@ def mix_documents(
 def _taken_places(
     docs: DataFrame, weights: Sequence[int], passes: int, seed: int, text: str
 ) -> DataFrame:
-    """For each source and pass the place of the last row taken, and how many rows equal to it are."""
-    taken = mix_plan(docs, weights, passes, seed, text).filter("copies > 0")
+    """For each source and pass the place of the last row taken, how many rows are equal to it, and
+    how many of them are taken."""
     place = F.struct(
         shuffle_key(F.col("doc_id"), seed).alias("shuffle_key"), "doc_id", "size", "row_hash"
     )
-    passed = taken.select(
-        "source", place.alias("place"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("pass")
-    )
+    plan = mix_plan(docs, weights, passes, seed, text).select("source", place.alias("place"), "copies")
+    plan = written(plan, "mix-plan")
+    passed = plan.filter("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     lasts = passed.groupBy("source", "pass").agg(F.max("place").alias("last"))
-    counted = passed.groupBy("source", "pass", "place").agg(F.count(F.lit(1)).alias("equal_taken"))
-    named = lasts.select(F.struct("*").alias("its"))
-    same = F.col("source").eqNullSafe(F.col("its.source")) & (F.col("pass") == F.col("its.pass"))
-    return counted.join(named, same & (F.col("place") == F.col("its.last"))).select(
-        "source", "pass", F.col("place").alias("last"), "equal_taken"
+    lasts = written(lasts, "mix-lasts").select(F.struct("*").alias("its"))
+    same = F.col("source").eqNullSafe(F.col("its.source")) & (F.col("place") == F.col("its.last"))
+    return (
+        plan.join(lasts, same)
+        .groupBy("its.source", "its.pass", "its.last")
+        .agg(
+            F.count_if(F.col("copies") >= F.col("its.pass")).alias("equal_taken"),
+            F.count(F.lit(1)).alias("equal_rows"),
+        )
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,38 @@ def word_count(column: str | Column = "text") -> Column:
     return F.regexp_count(whole_text(column), F.lit(WORD)).cast("long")
 
 
+def words_counted(column: str = "text", bytes_at_once: int = 8 << 20) -> Column:
+    """The same as ``word_count``, without a string for each word: an Arrow UDF that looks for
+    the bytes where words start, in parts of about ``bytes_at_once``."""
+
+    @F.arrow_udf("bigint")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            if not len(batch):
+                yield pa.array([], pa.int64())
+                continue
+            texts = batch.cast(pa.large_binary())
+            starts = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset :][: len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            parts = np.searchsorted(starts, np.arange(starts[0], starts[-1], bytes_at_once))
+            cuts = np.unique(np.r_[0, parts, len(texts)])
+            found = [_words_between(data, starts[a : b + 1]) for a, b in zip(cuts, cuts[1:])]
+            yield pa.array(np.concatenate(found))
+
+    return count(whole_text(column).cast("binary"))
+
+
+def _words_between(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words of the texts that lie between successive ``ends`` of UTF-8 data."""
+    part, edges = data[ends[0] : ends[-1]], ends - ends[0]
+    in_word = (part != 0x20) & ((part < 0x09) | (part > 0x0D))
+    begins = in_word.copy()
+    begins[1:] &= ~in_word[:-1]
+    firsts = edges[:-1][edges[:-1] < len(part)]
+    begins[firsts] = in_word[firsts]
+    return np.diff(np.searchsorted(np.flatnonzero(begins), edges))
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, CAPITALS, CAPITALS.lower())
 

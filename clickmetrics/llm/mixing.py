@@ -21,6 +21,7 @@ from clickmetrics.llm.common import (
     whole_text,
     with_running_sums,
     word_count,
+    words_counted,
     written,
 )
 
@@ -97,7 +98,7 @@ def mix_plan(
         docs.select(
             F.col("doc_id"),
             F.col("source"),
-            word_count(text).alias("size"),
+            words_counted(text).alias("size"),
             shuffle_key(F.col("doc_id"), seed).alias("shuffle_key"),
             row_hash(docs).alias("row_hash"),
         ),

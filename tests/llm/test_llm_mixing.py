@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import pytest
 from clickmetrics.llm import mixing
+from clickmetrics.llm.common import word_count, words_counted
 
 
 def table_of(rng, n, sources):
@@ -77,3 +78,12 @@ def test_the_mix_holds_each_document_as_often_as_planned(documents):
     mixed = mixing.mix_documents(frame)
     assert mixed.columns == frame.columns
     assert Counter(r.doc_id for r in mixed.collect()) == +planned
+
+
+def test_words_are_counted_alike_by_bytes_and_by_pattern(spark):
+    texts = ["", " ", "one", " one\ttwo\n", "a\x0bb\x0cc\rd", "é\u00a0ü \u2003 x", "x" * 50, None, "end ", "z y" * 40]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").coalesce(1)
+    for at_once in (1, 7, 1 << 20):
+        both = docs.select(word_count().alias("a"), words_counted(bytes_at_once=at_once).alias("b")).collect()
+        assert len(both) == len(docs.collect()) and all(row.a == row.b for row in both)
+    assert docs.limit(0).select(words_counted()).count() == 0

@@ -24,21 +24,28 @@ def test_shard_arrays_tell_lines_apart():
     hash_1[7] = hash_1[3]  # two lines with one first hash
     hash_2 = rng.integers(0, 2**64, 500, dtype=np.uint64)
     counts = np.arange(500) + 10
-    row = type("Row", (), line_dedup.LineShard.packed(hash_1, hash_2, counts))
-    shard = line_dedup.LineShard.read(row)
+    shard = line_dedup.LineShard.read(**line_dedup.LineShard.packed(hash_1, hash_2, counts))
     assert shard.count(hash_1, hash_2).tolist() == counts.tolist()
     others = rng.integers(0, 2**64, 2000, dtype=np.uint64)
     assert not shard.count(others, others).any()
     assert not shard.count(hash_1, hash_2 + np.uint64(1)).any()
 
 
+def test_arrays_take_the_bytes_stated():
+    rng = np.random.default_rng(2)
+    hash_1, hash_2 = (rng.integers(0, 2**64, line_dedup.SHARD_KEYS, dtype=np.uint64) for _ in range(2))
+    packed = line_dedup.LineShard.packed(hash_1, hash_2, np.full(len(hash_1), 10))
+    assert line_dedup.LineShard.read(**packed).nbytes < line_dedup.BYTES_PER_KEY * len(hash_1)
+
+
 LINES = ["Common line", " common LINE\t", "other", "", "  ", "é Line", "É line", "x" * 3000]
 
 
 @pytest.mark.parametrize(("min_docs", "at_once"), [(3, None), (5, 1), (2, 1)])
 def test_matches_plain_dedup(documents, monkeypatch, min_docs, at_once):
-    if at_once:  # many shards, one at a time
+    if at_once:  # many shards, that the hashes go to, each in parts
         monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+        monkeypatch.setattr(line_dedup, "PROBE_ROWS", 7)
     rng = random.Random(min_docs)
     texts = ["\n".join(rng.choice(LINES + [f"own {rng.randrange(40)}"]) for _ in range(rng.randint(0, 9))) for _ in range(60)]
     docs = documents(texts)
@@ -68,3 +75,24 @@ def test_edges(documents, edge_texts):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         line_dedup.dedup_lines(docs, min_chars=0)
+
+
+def test_hashes_sent_to_their_shards(documents, edge_texts, monkeypatch):
+    """A text that a third of the rows have, rows without text, and a line that all others share."""
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 3)
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 20)
+    shared = [f"shared\nown {i}\npart {i % 9}" for i in range(120)]
+    texts = [*["copy\nof many\n\n one"] * 60, *edge_texts, None, *shared]
+    docs = documents(texts)
+    near, far = (line_dedup.dedup_lines(docs, 10, array_bytes=n) for n in (1 << 20, 1))
+    expected = brute.dedup_lines(texts, 10)
+    for found in (near, far):
+        rows = {r.doc_id: r for r in found.collect()}
+        assert len(rows) == len(texts)
+        assert [rows[i].text or "" for i in range(len(texts))] == expected
+        assert {r.text for r in rows.values() if texts[r.doc_id] is None} == {None}
+    lines = line_dedup.frequent_lines(docs, 10, 1)
+    tables = line_dedup.line_shards(lines, 3)
+    listed = line_dedup.lines_at_shards(docs, tables, 3, 10, 1, "text").collect()
+    touched = {t for t, e in zip(texts, expected) if (t or "") != e}
+    assert len(listed) == len({(r.text_1, r.text_2) for r in listed}) == len(touched)

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from clickmetrics.llm import neighbours as nn
@@ -59,6 +61,50 @@ def test_recall_against_brute_force(vectors, cell_rows, monkeypatch):
     assert hits >= 0.9 * 200
 
 
+@pytest.mark.parametrize("scale", [None, "sf0.1"])
+def test_recall_and_work_over_the_whole_given_table(spark, sf_dir, scale):
+    from clickmetrics.llm.queries import op8_nearest
+
+    folder = str(Path(sf_dir).parent / scale) if scale else sf_dir
+    if not Path(folder, "embeddings.parquet").exists():
+        pytest.skip("no such table")
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    unit = np.array([r.embedding for r in rows], dtype=float)
+    unit /= np.sqrt((unit * unit).sum(axis=1))[:, None]
+    found = {}
+    for row in op8_nearest(spark, folder).collect():
+        found.setdefault(row.query_id, []).append(row)
+    queries = np.flatnonzero(ids % 50 == 0)
+    assert set(found) == set(ids[queries].tolist())
+    hits = 0
+    for query in queries:
+        scores = unit @ unit[query]
+        scores[query] = -2
+        best = ids[np.lexsort([ids, -scores])[:5]].tolist()
+        hits += len({r.vec_id for r in found[ids[query]]} & set(best))
+    assert hits >= 0.9 * 5 * len(queries)
+    if scale:
+        verified = sum(found[ids[query]][0].n_verified for query in queries)
+        assert verified <= 0.75 * len(queries) * len(ids)
+
+
+def test_clear_groups_are_not_all_met():
+    rng = np.random.default_rng(6)
+    centers = rng.standard_normal((20, 32))
+    rows = np.repeat(centers, 200, axis=0) + 0.05 * rng.standard_normal((4000, 32))
+    points = nn.projected(rows, nn.DIMENSIONS, 11)
+    tree = nn.CellTree(np.arange(4000), rows, points)
+    bound = nn.chi_square_bound(nn.CERTAINTY, nn.DIMENSIONS)
+    ids, scores, verified = tree.nearest(0, rows[0], points[0], 5, bound, float("inf"))
+    cosines = rows @ rows[0] / np.sqrt((rows * rows).sum(axis=1) * (rows[0] @ rows[0]))
+    cosines[0] = -2
+    assert len(set(ids) & set(np.argsort(-cosines)[:5])) >= 4
+    assert verified <= 200
+    near = 2 - 2 * scores[-1]
+    assert tree.nearest(0, rows[0], points[0], 5, bound, near / 100)[2] < 10
+
+
 def test_one_common_vector(vectors):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(60)] + [(i, [float(i), 1.0, 0.0]) for i in range(60, 90)]
     found = search(vectors(rows), k=3, cell_rows=8)

@@ -8,9 +8,9 @@ as many pieces has a smaller largest piece.
 
 from __future__ import annotations
 
-import bisect
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,40 +18,47 @@ from clickmetrics.llm.common import text_key, whole_text, with_running_sums, wri
 
 SHARDS = 16
 #: Bytes on either side of a looked-up place whose group ends are fetched with it. A group has a
-#: byte at least, and equal texts are one group, so this bounds what the driver holds.
+#: byte at least, and equal texts are one group, so this bounds the 16 bytes a group the driver holds.
 WINDOW = 1 << 20
 
 
 @dataclass
 class GroupEnds:
     """Where groups end in the order: running sum of bytes and of documents, looked up in the
-    stored table by ranges of bytes. ``place`` is the last group end up to a number of bytes."""
+    stored table by ranges of bytes. ``place`` is the last group end up to a number of bytes.
+
+    The table is sorted by ``group_end``, so that a range is found in few row groups. What was
+    fetched stays as two rows of numbers, the ends and the documents up to them.
+    """
 
     groups: DataFrame
     total: int
     window: int = WINDOW
-    spans: list[tuple[int, int, list[tuple[int, int]]]] = field(default_factory=list)
+    spans: list[tuple[int, int, np.ndarray]] = field(default_factory=list)
 
     def place(self, limit: int) -> tuple[int, int]:
         """(bytes, documents) of all groups that end by ``limit``."""
         for low, high, ends in self.spans:
-            if low <= limit < high and ends and ends[0][0] <= limit:
-                return ends[bisect.bisect_right(ends, (limit, float("inf"))) - 1]
+            if low <= limit < high and ends.size and ends[0, 0] <= limit:
+                last = np.searchsorted(ends[0], limit, side="right") - 1
+                return int(ends[0, last]), int(ends[1, last])
         low, high = limit - self.window, limit + self.window
         rows = (
             self.groups.filter((F.col("group_end") > low) & (F.col("group_end") < high))
             .select("group_end", "rows_end")
-            .collect()
+            .toArrow()
         )
-        ends = sorted((row.group_end, row.rows_end) for row in rows)
-        if not ends or ends[0][0] > limit:
+        ends = np.array([rows["group_end"].to_numpy(), rows["rows_end"].to_numpy()], dtype=np.int64)
+        ends = ends[:, np.argsort(ends[0])]
+        if not ends.size or ends[0, 0] > limit:
             before = (
                 self.groups.filter(F.col("group_end") <= limit)
                 .agg(F.max(F.struct("group_end", "rows_end")).alias("last"))
                 .collect()[0]
                 .last
             )
-            ends = [(before.group_end, before.rows_end) if before else (0, 0), *ends]
+            first = (before.group_end, before.rows_end) if before else (0, 0)
+            ends = np.column_stack([np.array(first, dtype=np.int64), ends])
         self.spans.append((low, high, ends))
         return self.place(limit)
 
@@ -119,7 +126,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text") -
             F.max("bytes_through").alias("group_end"),
             F.max("rows_through").alias("rows_end"),
             F.sum("size").alias("group_size"),
-        ),
+        )
+        .repartitionByRange("group_end")
+        .sortWithinPartitions("group_end"),
         "shard-groups",
     )
     whole_table = groups.agg(F.max("group_end").alias("total"), F.max("group_size").alias("largest"))

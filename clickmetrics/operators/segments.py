@@ -21,6 +21,8 @@ log = logging.getLogger(__name__)
 FEATURES = ("frequency", "monetary")
 WEIGHT = "weight"
 MILLION = 1_000_000.0
+#: Points that a task of a fit has: at least so many where there are cores to spare, and at most.
+FEWEST_PER_TASK, MOST_PER_TASK = 10_000, 250_000
 MODEL_SCHEMA = (
     "segment_id int, label string, frequency double, spend double, frequency_spread double, "
     "spend_spread double, cost double"
@@ -129,7 +131,7 @@ def fit_segments(
     points = staged.groupBy(frequency.alias("f"), spend.alias("m")).agg(
         F.count(F.lit(1)).alias(WEIGHT), F.count("monetary").alias("paid")
     )
-    points = in_shared_folder(points, "points").persist(StorageLevel.MEMORY_AND_DISK)
+    points = _spread_out(in_shared_folder(points, "points")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = _fitted(points, config)
     finally:
@@ -196,17 +198,52 @@ def _coordinates() -> tuple[Column, Column]:
 Mean = tuple[float, float]
 
 
-def _distance(mean: Mean, spreads: tuple[float, float], f: Column, m: Column) -> Column:
+def _distance(
+    mean: Mean | tuple[Column, Column], spreads: tuple[float, float], f: Column, m: Column
+) -> Column:
     x, y = (f - F.lit(mean[0])) / F.lit(spreads[0]), (m - F.lit(mean[1])) / F.lit(spreads[1])
     return x * x + y * y
 
 
-def _nearest(means: list[Mean], spreads: tuple[float, float], f: Column, m: Column) -> Column:
+def _nearest(
+    means: list[Mean] | list[tuple[Column, Column]], spreads: tuple[float, float], f: Column, m: Column
+) -> Column:
     """The number of the nearest mean, the first of equally near ones."""
     distances = F.array(*[_distance(mean, spreads, f, m) for mean in means])
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
+def _spread_out(points: DataFrame) -> DataFrame:
+    """Stored points dealt over the cluster. They are few bytes, so that the files alone would leave
+    all the passes over them to one task or a few."""
+    count, cores = points.count(), points.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, -(-count // FEWEST_PER_TASK)), -(-count // MOST_PER_TASK))
+    return points.repartition(tasks)
+
+
+def _with_means(
+    points: DataFrame, starts: dict[int, list[Mean]], k: int, texts: dict[int, str] | None = None
+) -> DataFrame:
+    """Each point once per start, with the start's number, its text and first ``k`` means, null where
+    it has fewer. Means are a column and no constants of the code, so that all passes of a fit
+    share one compiled plan, however many starts there are."""
+
+    def row(start: int, means: list[Mean]) -> str:
+        numbers = [f"{number!r}D" for mean in means for number in mean]
+        padded = [*numbers, *["NULL"] * (2 * k - len(numbers))]
+        text = f"'{texts[start]}'" if texts else "''"
+        return f"struct({start} AS start, {text} AS text, CAST(array({', '.join(padded)}) AS array<double>) AS means)"
+
+    rows = ", ".join(row(start, means) for start, means in starts.items())
+    return points.select("*", F.expr(f"inline(array({rows}))"))
+
+
+def _mean_columns(k: int) -> list[tuple[Column, Column]]:
+    """The ``k`` means that ``_with_means`` puts next to a point."""
+    means = F.col("means")
+    return [(means[2 * j], means[2 * j + 1]) for j in range(k)]
+
+
 def _fitted(points: DataFrame, config: AnalyticsConfig) -> SegmentModel | None:
     f, m, weight = F.col("f"), F.col("m"), F.col(WEIGHT)
 
@@ -249,23 +286,21 @@ def _first_means(points: DataFrame, seeds: list[int], k: int, spreads: tuple[flo
     round and the point, and the first one wins. So the draw does not depend on any order.
     """
     f, m = F.col("f"), F.col("m")
-    drawn: list[list[Mean]] = [[] for _ in seeds]
-
-    def winner(seed: int, means: list[Mean]) -> Column:
-        text = F.concat_ws(":", F.lit(f"{seed}:{len(means)}"), f.cast("string"), m.cast("string"))
+    drawn: dict[int, list[Mean]] = {seed: [] for seed in seeds}
+    for number in range(k):
+        texts = {seed: f"{seed}:{len(means)}" for seed, means in drawn.items()}
+        dealt, means = _with_means(points, drawn, number, texts), _mean_columns(number)
+        text = F.concat_ws(":", "text", f.cast("string"), m.cast("string"))
         uniform = (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 1) / 2.0**52
         rate = F.col(WEIGHT).cast("double")
         if means:
             rate = rate * F.array_min(F.array(*[_distance(mean, spreads, f, m) for mean in means]))
-        time = F.when(rate > 0, -F.log(uniform) / rate)
-        return F.min_by(F.when(time.isNotNull(), F.struct("f", "m")), time)
-
-    for _ in range(k):
-        row = points.agg(*[winner(seed, means) for seed, means in zip(seeds, drawn)]).first()
-        for means, point in zip(drawn, row):
-            if point is not None:
-                means.append((float(point.f), float(point.m)))
-    return drawn
+        timed = dealt.select("start", "f", "m", F.when(rate > 0, -F.log(uniform) / rate).alias("time"))
+        first = timed.groupBy("start").agg(F.min_by("f", "time"), F.min_by("m", "time"))
+        for seed, *point in first.collect():
+            if None not in point:
+                drawn[seed].append((float(point[0]), float(point[1])))
+    return list(drawn.values())
 
 
 Sums = tuple[int, int, int, int]
@@ -277,23 +312,21 @@ def _moved_means(
     """Lloyd's steps from all starts side by side until no mean moves: each cluster's weight, sums of
     both features, and users with a spend. A cluster that loses all its points keeps its mean."""
     k = max(map(len, starts))
+    f, m, weight = F.col("f"), F.col("m"), F.col(WEIGHT)
+    nearest = _nearest(_mean_columns(k), spreads, f, m).alias("cluster")
+    measures = (f, m, weight, F.col("paid"))
+    totals = (F.sum(weight), F.sum(f * weight), F.sum(m * weight), F.sum("paid"))
     means, done = [list(start) for start in starts], [False] * len(starts)
     sums: list[list[Sums]] = [[(0, 0, 0, 0)] * len(start) for start in starts]
     for _ in range(most):
         going = [number for number, over in enumerate(done) if not over]
         if not going:
             break
-        clusters = [F.lit(i * k) + _nearest(means[i], spreads, F.col("f"), F.col("m")) for i in going]
-        weight = F.col(WEIGHT)
-        rows = (
-            points.select("f", "m", WEIGHT, "paid", F.explode(F.array(*clusters)).alias("cluster"))
-            .groupBy("cluster")
-            .agg(F.sum(weight), F.sum(F.col("f") * weight), F.sum(F.col("m") * weight), F.sum("paid"))
-            .collect()
-        )
-        found = {row[0]: tuple(row[1:]) for row in rows}
+        dealt = _with_means(points, {i: means[i] for i in going}, k)
+        rows = dealt.select("start", nearest, *measures).groupBy("start", "cluster").agg(*totals).collect()
+        found = {tuple(row[:2]): tuple(row[2:]) for row in rows}
         for i in going:
-            new = [found.get(i * k + j, (0, 0, 0, 0)) for j in range(len(means[i]))]
+            new = [found.get((i, j), (0, 0, 0, 0)) for j in range(len(means[i]))]
             moved = [(sf / w, sm / w) if w else old for (w, sf, sm, _), old in zip(new, means[i])]
             done[i] = moved == means[i]
             sums[i], means[i] = new, moved

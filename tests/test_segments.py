@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickmetrics import AnalyticsConfig
 from clickmetrics import operators as op
+from clickmetrics.operators import segments
 from clickmetrics.operators.segments import SegmentModel
 from fixtures import value_set
 
@@ -103,6 +104,37 @@ def test_partitions_of_the_input_do_not_matter(spark, sf_dir):
     assert labels(fits[0].users) == labels(fits[1].users) == labels(fits[2].users)
 
 
+def test_a_fit_is_spread_over_tasks(spark, monkeypatch):
+    """Points are few bytes: stored as they come, one task would have all of them in every pass."""
+    tasks = []
+    fitted = segments._fitted
+    monkeypatch.setattr(
+        segments, "_fitted", lambda points, config: tasks.append(points.rdd.getNumPartitions()) or fitted(points, config)
+    )
+    many = spark.range(40_000).selectExpr(
+        "CAST(id AS STRING) AS user_id", "id % 211 AS frequency", "CAST(id * 7919 % 40009 AS DOUBLE) AS monetary"
+    )
+    assert op.fit_segments(many, AnalyticsConfig(segment_starts=2)) is not None
+    assert tasks == [4]
+
+
+def test_passes_share_their_code(spark):
+    """The means of a pass are data to it: no other code is made and compiled for other means."""
+    points = spark.createDataFrame(
+        [(f, int(m), 1, 1) for _, f, m in THREE_GROUPS],
+        "f bigint, m bigint, weight bigint, paid bigint",
+    ).persist()
+    jvm = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.expressions.codegen
+    compiled = []
+    for shift in (0.0, 1.5, 7.25):
+        starts = [[(2.0 + shift, 9.0), (20.0, 200.0 + shift), (11.0, 900.0)], [(3.0, 12.0 + shift), (22.0, 190.0)]]
+        sums = segments._moved_means(points, starts, (1.0, 10.0), 1)
+        assert [sum(cluster[0] for cluster in start) for start in sums] == [9, 9]
+        compiled.append(jvm.CodeGenerator.compileTime())
+    points.unpersist()
+    assert compiled[1] == compiled[2] == compiled[0]
+
+
 def test_users_are_not_sorted_or_dealt(spark):
     users = op.fit_segments(features(spark, THREE_GROUPS), CONFIG).users
     plan = users._jdf.queryExecution().executedPlan().toString()

@@ -23,7 +23,7 @@ from clickmetrics.plans.user_state import refresh_user_state
 from clickmetrics.schema import EventSchemaError, require_event_columns
 from clickmetrics.sinks.events import create_events_table
 from clickmetrics.sinks.metrics import save_metric
-from clickmetrics.sources.tables import events_table
+from clickmetrics.sources.tables import current_table, events_table
 
 OnEmpty = Literal["keep", "replace"]
 Build = Callable[[DataFrame, AnalyticsConfig], DataFrame]
@@ -112,7 +112,8 @@ def run_metrics(
 
 def verify_events(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
     """The stored events, or an error if they have another schema or there are none."""
-    events = require_event_columns(events_table(spark, config))
+    require_event_columns(current_table(spark, config.table(config.events_table)))
+    events = events_table(spark, config)
     if events.isEmpty():
         raise EventSchemaError(f"{config.table(config.events_table)} holds no events")
     return events

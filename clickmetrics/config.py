@@ -42,8 +42,8 @@ class AnalyticsConfig:
     # Stream micro-batch interval.
     flush_interval: str = "20 seconds"
 
-    # Buckets of a run's per-user rollup: None takes one per so many rows of the stored rollup,
-    # and no fewer than spark.sql.shuffle.partitions.
+    # Buckets of a run's per-user rollup: None takes one per so many rows of the stored rollup
+    # at least, and more to use all cores, see ``plans.rollup.buckets_for``.
     rollup_buckets: int | None = None
     rollup_bucket_rows: int = 5_000_000
 

@@ -35,6 +35,8 @@ from clickmetrics.sources.tables import (
 )
 
 ROLLUP_TABLE = "user_event_rollup"
+#: Rows of a bucket at least, where there are buckets for all cores.
+FEWEST_PER_BUCKET = 500_000
 
 
 def refresh_rollup(spark: SparkSession, config: AnalyticsConfig = AnalyticsConfig()) -> DataFrame:
@@ -165,11 +167,18 @@ def store_rollup(
 
 
 def buckets_for(activity: DataFrame, config: AnalyticsConfig) -> int:
-    """How many buckets activity by user is to be kept in."""
+    """How many buckets activity by user is to be kept in: one per core, more for more rows up to the
+    shuffle partitions, and beyond that one per ``rollup_bucket_rows``.
+
+    Every bucket is a task and a file of each table and metric, and a task costs the shuffles of a
+    metric one block per shuffle partition, so buckets of a few rows would cost more than their rows.
+    """
     if config.rollup_buckets is not None:
         return config.rollup_buckets
-    least = int(activity.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-activity.count() // config.rollup_bucket_rows))
+    spark, rows = activity.sparkSession, activity.count()
+    spread = max(spark.sparkContext.defaultParallelism, -(-rows // FEWEST_PER_BUCKET))
+    enough = min(spread, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(enough, -(-rows // config.rollup_bucket_rows))
 
 
 def visible_parts(spark: SparkSession, config: AnalyticsConfig) -> set[Partition]:

@@ -86,8 +86,9 @@ def refresh_user_state(
         return _save(user_state(rollup), _by_hour(rollup), buckets_for(rollup, config), rolled, config)
     activity, hours = merged_state(state, rollup.filter(in_partitions(rolled - state.parts)))
     buckets = state.buckets
-    if config.rollup_buckets is None and state.activity.count() > 2 * buckets * config.rollup_bucket_rows:
-        buckets = buckets_for(state.activity, config)
+    if config.rollup_buckets is None:
+        wanted = buckets_for(state.activity, config)
+        buckets = wanted if wanted > 2 * buckets else buckets
     return _save(activity, hours, buckets, rolled, config, bucketed=buckets == state.buckets)
 
 

@@ -24,7 +24,8 @@ from clickmetrics.plans import (
     verify_events,
 )
 from clickmetrics.plans import current_totals, refresh_user_state, stored_state
-from clickmetrics.plans.rollup import new_events
+from clickmetrics.plans import rollup as rollup_module
+from clickmetrics.plans.rollup import buckets_for, new_events
 from clickmetrics.plans.user_state import merged_state
 from clickmetrics.schema import METRIC_SCHEMAS, EventSchemaError
 from clickmetrics.sinks import (
@@ -214,6 +215,22 @@ def test_a_state_that_outgrows_its_buckets_gets_more(spark, events, config):
         spark.conf.set("spark.sql.shuffle.partitions", 8)
 
 
+def test_a_state_has_as_many_buckets_as_its_rows_can_use(spark, events, config, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", 200)
+    try:
+        load_events(events, "a", config)
+        assert refresh_user_state(spark, config).buckets == cores
+        rollup = refresh_rollup(spark, config)
+        monkeypatch.setattr(rollup_module, "FEWEST_PER_BUCKET", 1)
+        assert buckets_for(rollup, config) == max(cores, rollup.count())
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        assert buckets_for(rollup, config) == 2
+        assert buckets_for(rollup, replace(config, rollup_bucket_rows=1)) == rollup.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
 def test_a_dashboard_page_reads_a_row_a_user(spark, events, config):
     load_events(events, "a", config)
     run_local_profile(spark, config)
